@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .language_id import language_id
+from .sharding import shard_documents
 from .topk_search import exact_top_k
 
 
@@ -17,8 +19,19 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op4_language_id": op4_language_id,
+    "op8_sharding": op8_sharding,
 }
 
 ORACLE_SQL = {
