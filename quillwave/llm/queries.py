@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .language_id import language_id
 from .sharding import shard_documents
+from .stream_bpe import round_trip
 from .topk_search import exact_top_k
+from .vocabularies import vocabulary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,10 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op3_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
@@ -30,6 +36,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op3_stream_bpe": op3_stream_bpe,
     "op4_language_id": op4_language_id,
     "op8_sharding": op8_sharding,
 }
