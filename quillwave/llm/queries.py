@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .hash_forest import nearest
 from .language_id import language_id
+from .packing import pack
 from .sharding import shard_documents
 from .stream_bpe import round_trip
 from .topk_search import exact_top_k
 from .vocabularies import vocabulary
+from .warc_zip import archive_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,10 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -30,14 +37,26 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096)
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op2_warc": op2_warc,
     "op3_stream_bpe": op3_stream_bpe,
     "op4_language_id": op4_language_id,
+    "op5_packing": op5_packing,
+    "op6_nearest": op6_nearest,
     "op8_sharding": op8_sharding,
 }
 
