@@ -4,86 +4,93 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import persisted
 
 END_OF_DOCUMENT = 1  #: id appended to every document
-PART = 1 << 16  #: characters of a text tokenised at once
-CALL = 1 << 20  #: characters in a call of the tokenizer
-CELL_ROWS = 512  #: pieces of one length that are ranked together, on average
+PART = 1 << 20  #: characters of a text worked on at once
+CACHED_WORDS = 1 << 19  #: words whose ids a worker remembers, of CACHED_CHARS at most
+CACHED_CHARS = 64
+CELL_ROWS = 128  #: pieces of one length that are ranked together, on average
 
-# White space between two ASCII letters: no token, composition or special string spans it.
-_SAFE = regex.compile(r"(?<=[A-Za-z])[ \n](?=[A-Za-z])")
+BLANKS = "\t\n\v\f\r"  #: with the space, what is dropped and no token, composition or special string spans
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def parts(text: str) -> Iterator[str]:
-    """A long text in parts of about ``PART`` characters whose ids, joined, are the text's.
+class WordIds:
+    """Ids of texts, by the tokenizer's ids of their blank-separated words.
 
-    A text without a safe place to cut stays whole from there on.
+    The vocabulary's kind normalises and cuts every such word alone, so a text's ids are
+    its words' ids in a row, and a word that comes again isn't tokenised again.
     """
-    at = 0
-    while len(text) - at > PART:
-        cut = _SAFE.search(text, at + PART)
-        if cut is None:
-            break
-        yield text[at : cut.start()]
-        at = cut.start()
-    yield text[at:]
+
+    def __init__(self, vocabulary: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of a whole text, worked on in parts that end before a blank."""
+        for c in BLANKS:
+            text = text.replace(c, " ")
+        if len(text) <= PART:
+            return np.frombuffer(self._part(text), dtype="<u4")
+        out, at = [], 0
+        while at < len(text):
+            end = text.find(" ", at + PART)
+            end = len(text) if end < 0 else end
+            out.append(self._part(text[at:end]))
+            at = end
+        return np.frombuffer(b"".join(out), dtype="<u4")
+
+    def _part(self, text: str) -> bytes:
+        words = text.split(" ")
+        new = set(words).difference(self.known)
+        if new:
+            if len(self.known) > CACHED_WORDS:
+                self.known, self.older = {"": b""}, self.known
+                new = set(words).difference(self.known)
+            again = new.intersection(self.older)
+            self.known.update((w, self.older[w]) for w in again)
+            fresh = list(new - again)
+            found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(fresh, found, strict=True))
+        out = b"".join(map(self.known.__getitem__, words))
+        for w in new:
+            if len(w) > CACHED_CHARS:
+                del self.known[w]
+        return out
+
+
+_LOADED: dict[str, WordIds] = {}
+
+
+def loaded(vocabulary: str) -> WordIds:
+    """The vocabulary and its cache, kept by each worker from task to task."""
+    if vocabulary not in _LOADED:
+        _LOADED[vocabulary] = WordIds(vocabulary)
+    return _LOADED[vocabulary]
 
 
 def piece_rows(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
     """Every document's pieces of at most ``capacity`` ids, tokenised in its own scan task, without a shuffle."""
 
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
-
-        def encoded(batch) -> Iterator[tuple[object, np.ndarray]]:
-            """Ids of every document; ids of many short texts come from one call."""
-            queue: list[tuple[object, int]] = []
-            texts: list[str] = []
-            held = 0
-
-            def flush():
-                found = iter(tokenizer.encode_batch(texts, add_special_tokens=False))
-                for doc, n in queue:
-                    ids = [i for _ in range(n) for i in next(found).ids]
-                    yield doc, np.array([*ids, END_OF_DOCUMENT], dtype="<u4")
-
-            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                text = text.as_py() or ""
-                if len(text) > CALL:
-                    out = []
-                    for part in parts(text):
-                        out.append(np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4"))
-                    yield doc.as_py(), np.concatenate([*out, np.array([END_OF_DOCUMENT], dtype="<u4")])
-                    continue
-                cut = list(parts(text))
-                queue.append((doc.as_py(), len(cut)))
-                texts.extend(cut)
-                held += len(text)
-                if held >= CALL:
-                    yield from flush()
-                    queue.clear()
-                    texts.clear()
-                    held = 0
-            yield from flush()
-
+        words = loaded(vocabulary)
+        end = np.array([END_OF_DOCUMENT], dtype="<u4")
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
-            for doc, ids in encoded(batch):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                ids = np.concatenate([words.ids(text.as_py() or ""), end])
                 for k, a in enumerate(range(0, len(ids), capacity)):
                     piece = ids[a : a + capacity]
                     for column, value in zip(columns, (doc, k, a, len(piece), zlib.crc32(piece.tobytes())), strict=True):
