@@ -134,12 +134,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """(text, lang) of ``SAMPLE_PER_LANGUAGE`` documents of each language at most, drawn by a hash of the id."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    labelled = labelled.where(F.octet_length("text") <= SAMPLE_BYTES)
+    """(text, lang) of ``SAMPLE_PER_LANGUAGE`` documents of each language at most, drawn by a hash of the id.
+
+    A first pass counts the documents of each language; only those whose hash falls into
+    the share that holds three times the sample go on to be ranked, so what is shuffled
+    doesn't grow with the table.  The counts are as many as there are language names.
+    """
+    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & (F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     draw = labelled.select("lang", "text", F.xxhash64(F.col("doc_id"), F.lit("draw")).alias("h"))
+    within = F.lit(False)
+    for lang, n in counts.items():
+        share = min(1.0, 3 * SAMPLE_PER_LANGUAGE / n)
+        within = F.when(F.col("lang") == lang, F.pmod("h", F.lit(1 << 32)) < int(share * (1 << 32))).otherwise(within)
     order = Window.partitionBy("lang").orderBy("h", "text")
-    return draw.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_PER_LANGUAGE).select("text", "lang")
+    return draw.where(within).withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_PER_LANGUAGE).select("text", "lang")
 
 
 def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
