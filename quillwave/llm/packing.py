@@ -59,9 +59,8 @@ class WordIds:
             if len(self.known) > CACHED_WORDS:
                 self.known, self.older = {"": b""}, self.known
                 new = set(words).difference(self.known)
-            again = new.intersection(self.older)
-            self.known.update((w, self.older[w]) for w in again)
-            fresh = list(new - again)
+            fresh = list(new.difference(self.older))
+            self.known.update((w, self.older[w]) for w in new.difference(fresh))
             found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
             self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(fresh, found, strict=True))
         out = b"".join(map(self.known.__getitem__, words))
