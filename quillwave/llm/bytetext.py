@@ -62,6 +62,7 @@ class Words:
     hash: np.ndarray
     doc: np.ndarray  #: text of each word, from 0
     at: np.ndarray  #: n + 1 positions of the texts' first words
+    cut: np.ndarray  #: n + 1 positions of the texts' first bytes
 
     def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Start word and 64-bit hash of every run of ``size`` words inside one text."""
@@ -108,4 +109,4 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Iterato
         h = mixed((total[end] - total[start]) * powers(_BASE, len(x) + 1, inverse=True)[start] + (end - start).astype(np.uint64))
         at = np.searchsorted(start, offsets[a : b + 1] - lo)
         doc = np.repeat(np.arange(b - a), np.diff(at))
-        yield Words(a, x, start, end, h, doc, at)
+        yield Words(a, x, start, end, h, doc, at, offsets[a : b + 1] - lo)

@@ -10,6 +10,7 @@ from .language_id import language_id
 from .packing import pack
 from .sharding import shard_documents
 from .stream_bpe import round_trip
+from .substring_dedup import substring_dedup
 from .topk_search import exact_top_k
 from .vocabularies import vocabulary
 from .warc_zip import archive_round_trip
@@ -46,6 +47,12 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return substring_dedup(docs, window=20, one_space=True).select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -57,6 +64,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op6_nearest": op6_nearest,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_sharding": op8_sharding,
 }
 
