@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .hash_forest import nearest
 from .language_id import language_id
+from .ngram_join import ngram_join
 from .packing import pack
 from .sharding import shard_documents
 from .stream_bpe import round_trip
@@ -57,6 +58,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), size=5, percent=80).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_warc": op2_warc,
@@ -66,6 +71,7 @@ QUERIES = {
     "op6_nearest": op6_nearest,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_sharding": op8_sharding,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL = {
