@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -15,6 +16,7 @@ END_OF_DOCUMENT = 1  #: id appended to every document
 PART = 1 << 20  #: characters of a text worked on at once
 CACHED_WORDS = 1 << 19  #: words whose ids a worker remembers, of CACHED_CHARS at most
 CACHED_CHARS = 64
+TOGETHER = 500  #: words tokenised in one string
 CELL_ROWS = 128  #: pieces of one length that are ranked together, on average
 
 BLANKS = "\t\n\v\f\r"  #: with the space, what is dropped and no token, composition or special string spans
@@ -35,6 +37,9 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.mark, self.mark_id = next(iter(special.items()), (None, None))
+        self.specials = tuple(special)
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -61,8 +66,7 @@ class WordIds:
                 new = set(words).difference(self.known)
             fresh = list(new.difference(self.older))
             self.known.update((w, self.older[w]) for w in new.difference(fresh))
-            found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(fresh, found, strict=True))
+            self.known.update(self._encoded(fresh, any(s in text for s in self.specials)))
         out = b"".join(map(self.known.__getitem__, words))
         for w in new:
             if len(w) > CACHED_CHARS:
@@ -70,6 +74,20 @@ class WordIds:
         return out
 
 
+    def _encoded(self, fresh: list[str], special: bool) -> Iterator[tuple[str, bytes]]:
+        """Every word with its ids: one by one if some may hold a special string, else many with one between, whose id parts them again."""
+        step = 1 if special or self.mark is None else TOGETHER
+        groups = [fresh[i : i + step] for i in range(0, len(fresh), step)]
+        joined = [(self.mark or "").join(g) for g in groups]
+        for some, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            data, begin = ids.tobytes(), 0
+            ends = [] if step == 1 else np.flatnonzero(ids == self.mark_id).tolist()
+            for w, end in zip(some, [*ends, len(ids)], strict=True):
+                yield w, data[4 * begin : 4 * end]
+                begin = end + 1
+
+
 _LOADED: dict[str, WordIds] = {}
 
 
