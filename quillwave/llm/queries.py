@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .hash_forest import nearest
 from .language_id import language_id
+from .line_templates import line_dedup
 from .ngram_join import ngram_join
 from .packing import pack
 from .sharding import shard_documents
@@ -58,6 +59,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_md5"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), size=5, percent=80).select("doc_id", "n_shingles", "component_id")
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op6_nearest": op6_nearest,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_sharding": op8_sharding,
+    "op9_line_templates": op9_line_templates,
     "op10_ngram_join": op10_ngram_join,
 }
 
@@ -91,4 +98,43 @@ ORACLE_SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op9_line_templates": """
+        WITH lines AS (
+            SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+        ), leafed AS (
+            SELECT doc_id, line, len(string_split(line, ' ')) AS n,
+                   array_to_string(list_transform(string_split(line, ' ')[1:3], lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ') AS lead
+            FROM lines WHERE len(string_split(line, ' ')) >= 4
+        ), held AS (
+            SELECT l.* FROM leafed l JOIN (SELECT n, lead FROM leafed GROUP BY n, lead HAVING count(*) >= 10) c ON l.n = c.n AND l.lead = c.lead
+        ), spread AS (
+            SELECT n, lead, line, c, unnest(string_split(line, ' ')) AS raw, unnest(range(n)) AS pos
+            FROM (SELECT n, lead, line, count(*) AS c FROM held GROUP BY ALL)
+        ), tokens AS (
+            SELECT n, lead, line, c, pos, CASE WHEN regexp_matches(raw, '[0-9]') THEN '<*>' ELSE raw END AS token FROM spread
+        ), fixed AS (
+            SELECT n, lead, pos, token FROM tokens WHERE token <> '<*>' GROUP BY n, lead, pos, token HAVING sum(c) >= 10
+        ), templates AS (
+            SELECT t.n, t.lead, t.line, list(coalesce(f.token, '<*>') ORDER BY t.pos) AS template, count(f.token) AS f
+            FROM tokens t LEFT JOIN fixed f ON t.n = f.n AND t.lead = f.lead AND t.pos = f.pos AND t.token = f.token
+            GROUP BY t.n, t.lead, t.line
+        ), used AS (
+            SELECT h.doc_id, h.line, p.template FROM held h JOIN templates p ON h.n = p.n AND h.lead = p.lead AND h.line = p.line
+            WHERE p.f >= 0.75 * p.n
+        ), often AS (
+            SELECT template FROM used GROUP BY template HAVING count(DISTINCT doc_id) >= 10
+        ), gone AS (
+            SELECT doc_id, list(DISTINCT line) AS gone FROM used WHERE template IN (SELECT template FROM often) GROUP BY doc_id
+        ), cut AS (
+            SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS lines,
+                   CASE WHEN g.gone IS NULL THEN NULL ELSE list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(g.gone, x)) END AS kept
+            FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id
+        ), judged AS (
+            SELECT *, coalesce(kept IS NOT NULL AND length(text) - length(coalesce(array_to_string(kept, chr(10)), '')) <= 0.3 * length(text), FALSE) AS changed FROM cut
+        )
+        SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
+               CAST(CASE WHEN changed THEN len(lines) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped,
+               md5(coalesce(CASE WHEN changed THEN array_to_string(kept, chr(10)) ELSE text END, '')) AS text_md5
+        FROM judged
+    """,
 }
