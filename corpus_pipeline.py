@@ -1,16 +1,73 @@
-"""Corpus cleaning in stages; each keeps its decisions for the next."""
+"""Corpus cleaning in stages, from documents to packed sequences; each stage's decisions hold for the next."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from quillwave.llm.language_id import language_id
+from quillwave.llm.line_templates import line_dedup
+from quillwave.llm.ngram_join import ngram_join
+from quillwave.llm.packing import pack
+from quillwave.llm.shared import persisted
+from quillwave.llm.substring_dedup import substring_dedup
+from quillwave.llm.vocabularies import vocabulary
+
+CAPACITY = 4096
+
+
+def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """``changed`` with the columns of ``docs``; n_chars, where there is one, follows the text."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; those without a letter or that fit none go."""
+    return language_id(docs).where(~F.col("rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines whose template recurs across the corpus."""
+    return _like(docs, line_dedup(docs))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their word 5-grams, the one with the smallest id; rows that share it stay together."""
+    groups = ngram_join(docs.select("doc_id", "text"), size=5, percent=80)
+    kept = persisted(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct())
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 20 words or more that appeared before."""
+    return _like(docs, substring_dedup(docs, window=20))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences of ``CAPACITY`` ids."""
+    return pack(docs, vocabulary("word_bpe_49k.json"), CAPACITY)
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("line_dedup", without_boilerplate),
+    ("near_duplicates", one_of_each),
+    ("substring_dedup", without_repeats),
+    ("packing", packed),
+]
+
+#: SQL can't express the trained classifier; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; each result is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = persisted(docs)
     return docs
