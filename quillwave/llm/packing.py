@@ -7,27 +7,27 @@ import zlib
 from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bytetext import chunks, text_bytes
 from .shared import persisted
 
 END_OF_DOCUMENT = 1  #: id appended to every document
-PART = 1 << 20  #: characters of a text worked on at once
-CACHED_WORDS = 1 << 19  #: words whose ids a worker remembers, of CACHED_CHARS at most
-CACHED_CHARS = 64
+CHUNK = 1 << 25  #: bytes of text whose distinct words are tokenised together; a longer text is worked on in parts
 TOGETHER = 500  #: words tokenised in one string
 CELL_ROWS = 128  #: pieces of one length that are ranked together, on average
 
-BLANKS = "\t\n\v\f\r"  #: with the space, what is dropped and no token, composition or special string spans
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds:
     """Ids of texts, by the tokenizer's ids of their blank-separated words.
 
-    The vocabulary's kind normalises and cuts every such word alone, so a text's ids are
-    its words' ids in a row, and a word that comes again isn't tokenised again.
+    The vocabulary's kind drops ASCII white space, and no token, composition or special
+    string spans it, so a text's ids are its words' ids in a row.  Each distinct word of
+    a chunk of texts is tokenised once; nothing is kept from chunk to chunk.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -38,61 +38,64 @@ class WordIds:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
-        self.mark, self.mark_id = next(iter(special.items()), (None, None))
+        self.mark, self.mark_id = next(iter(special.items()), ("", -1))
         self.specials = tuple(special)
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> np.ndarray:
-        """Ids of a whole text, worked on in parts that end before a blank."""
-        for c in BLANKS:
-            text = text.replace(c, " ")
-        if len(text) <= PART:
-            return np.frombuffer(self._part(text), dtype="<u4")
-        out, at = [], 0
-        while at < len(text):
-            end = text.find(" ", at + PART)
-            end = len(text) if end < 0 else end
-            out.append(self._part(text[at:end]))
-            at = end
-        return np.frombuffer(b"".join(out), dtype="<u4")
-
-    def _part(self, text: str) -> bytes:
-        words = text.split(" ")
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) > CACHED_WORDS:
-                self.known, self.older = {"": b""}, self.known
-                new = set(words).difference(self.known)
-            fresh = list(new.difference(self.older))
-            self.known.update((w, self.older[w]) for w in new.difference(fresh))
-            self.known.update(self._encoded(fresh, any(s in text for s in self.specials)))
-        out = b"".join(map(self.known.__getitem__, words))
-        for w in new:
-            if len(w) > CACHED_CHARS:
-                del self.known[w]
-        return out
-
-
-    def _encoded(self, fresh: list[str], special: bool) -> Iterator[tuple[str, bytes]]:
-        """Every word with its ids: one by one if some may hold a special string, else many with one between, whose id parts them again."""
-        step = 1 if special or self.mark is None else TOGETHER
-        groups = [fresh[i : i + step] for i in range(0, len(fresh), step)]
-        joined = [(self.mark or "").join(g) for g in groups]
-        for some, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, dtype="<u4")
-            data, begin = ids.tobytes(), 0
-            ends = [] if step == 1 else np.flatnonzero(ids == self.mark_id).tolist()
-            for w, end in zip(some, [*ends, len(ids)], strict=True):
-                yield w, data[4 * begin : 4 * end]
-                begin = end + 1
+
+    def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order; a null text has none."""
+        raw, offsets = text_bytes(column)
+        for a, b in chunks(offsets, CHUNK):
+            data = raw[offsets[a] : offsets[b]]
+            data = np.where((data >= 0x09) & (data <= 0x0D), np.uint8(0x20), data)
+            if len(data) <= CHUNK:
+                ids, at = self._ids(data, offsets[a : b + 1] - offsets[a])
+                yield from (ids[x:y] for x, y in zip(at[:-1], at[1:], strict=True))
+            else:  # one long text, cut at blanks
+                blanks = np.flatnonzero(data == 0x20)
+                cuts = blanks[np.searchsorted(blanks, np.arange(CHUNK // 2, len(data), CHUNK // 2)).clip(max=len(blanks) - 1)] if len(blanks) else blanks
+                cuts = np.unique(np.concatenate(([0], cuts, [len(data)])))
+                yield np.concatenate([self._ids(data[x:y], np.array([0, y - x]))[0] for x, y in zip(cuts[:-1], cuts[1:], strict=True)])
+
+    def _ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin."""
+        buffers = [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+        lists = pc.split_pattern(pa.Array.from_buffers(pa.string(), len(offsets) - 1, buffers), " ")
+        coded = lists.flatten().dictionary_encode()
+        flat, first, size = self._distinct(coded.dictionary.to_pylist())
+        word = np.asarray(coded.indices)
+        ends = np.concatenate(([0], np.cumsum(size[word])))
+        source = np.repeat((first[word] - ends[:-1]).astype(np.int32), size[word])
+        source += np.arange(len(source), dtype=np.int32)
+        return flat[source], ends[np.asarray(lists.offsets)]
+
+    def _distinct(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words in a row, each word's first one and their number.
+
+        Words are tokenised many in one string with a special string between them, whose
+        id parts them again; where one may itself hold a special string, one by one.
+        """
+        alone = not self.mark or any(s in w for s in self.specials for w in found if "<" in w or s[0] != "<")
+        step = 1 if alone else TOGETHER
+        out, sizes = [], []
+        for i in range(0, len(found), step):
+            some = found[i : i + step]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            if alone:
+                out.append(ids)
+                sizes.append([len(ids)])
+            else:
+                ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+                out.append(ids[ids != self.mark_id])
+        size = np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
+        return np.concatenate([*out, np.zeros(0, "<u4")]).astype("<u4"), np.cumsum(size) - size, size
 
 
 _LOADED: dict[str, WordIds] = {}
 
 
 def loaded(vocabulary: str) -> WordIds:
-    """The vocabulary and its cache, kept by each worker from task to task."""
+    """The vocabulary, read once by each worker."""
     if vocabulary not in _LOADED:
         _LOADED[vocabulary] = WordIds(vocabulary)
     return _LOADED[vocabulary]
@@ -106,8 +109,8 @@ def piece_rows(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
         end = np.array([END_OF_DOCUMENT], dtype="<u4")
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.concatenate([words.ids(text.as_py() or ""), end])
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), words.texts(batch.column("text")), strict=True):
+                ids = np.concatenate([ids, end])
                 for k, a in enumerate(range(0, len(ids), capacity)):
                     piece = ids[a : a + capacity]
                     for column, value in zip(columns, (doc, k, a, len(piece), zlib.crc32(piece.tobytes())), strict=True):
