@@ -15,7 +15,7 @@ from .bytetext import chunks, text_bytes
 from .shared import persisted
 
 END_OF_DOCUMENT = 1  #: id appended to every document
-CHUNK = 1 << 25  #: bytes of text whose distinct words are tokenised together; a longer text is worked on in parts
+CHUNK = 5 << 22  #: bytes of text whose distinct words are tokenised together; a longer text is worked on in parts
 TOGETHER = 500  #: words tokenised in one string
 CELL_ROWS = 128  #: pieces of one length that are ranked together, on average
 
