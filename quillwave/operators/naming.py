@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ def rename_plan(requests: DataFrame, listing: DataFrame) -> DataFrame:
     ``requests``: (path, pos); a path asked for twice counts once.  ``listing``: (path)
     of all files there.  A target that is taken gets _1, _2, ... before its ending.
     Names freed by an earlier rename are free again, so requests of one folder depend on
-    each other in order: the one step that no set operation can express, done folder by
-    folder over names alone.  Only names in reach of a request (same cleaned stem, or
+    each other in order: the one step that no set operation can express, done over sorted
+    runs of names alone.  Only names in reach of a request (same cleaned stem, or
     cleaned stem and counter) take part.  status: `renamed` or `unchanged`.
     """
     first = Window.partitionBy("path").orderBy("pos")
@@ -38,25 +39,40 @@ def rename_plan(requests: DataFrame, listing: DataFrame) -> DataFrame:
     root = F.regexp_replace(clean_name(stem(F.coalesce("target", "old"))), r"(_\d+)*$", "")
     root = F.when(root == "", "_").otherwise(root)
     fallback = F.col("target").isNull() & stem("old").rlike(r"^__\d+$")  # also in the way of the fallback name's counters
-    return both.withColumn("root", F.explode(F.array_distinct(F.array(root, F.when(fallback, "_").otherwise(root))))).groupBy("folder", "root").applyInPandas(_folder_plan, PLAN)
-
-
-def _folder_plan(names: pd.DataFrame) -> pd.DataFrame:
-    taken = set(names["old"])
-    out = []
-    for row in names[names["target"].notna()].sort_values("pos").itertuples(index=False):
-        if row.target == row.old:
-            out.append((row.folder, row.old, row.old, row.target, "unchanged"))
-            continue
-        base, ending = os.path.splitext(row.target)
-        new, n = row.target, 0
-        while new in taken:
-            n += 1
-            new = f"{base}_{n}{ending}"
-        taken.discard(row.old)
-        taken.add(new)
-        out.append((row.folder, row.old, new, row.target, "renamed"))
-    return pd.DataFrame(out, columns=["folder", "old", "new", "target", "status"])
+    # Groups are sorted runs of rows, read in one pass: most hold a single name.
+    return both.withColumn("root", F.explode(F.array_distinct(F.array(root, F.when(fallback, "_").otherwise(root))))).repartition("folder", "root").sortWithinPartitions("folder", "root", F.col("pos").asc_nulls_first()).mapInArrow(_plans, PLAN)
+
+
+def _plans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The plan of each run of rows with one folder and root, names without a request first, then requests in order."""
+    key, taken, asked = None, set(), []
+
+    def flush() -> Iterator[tuple]:
+        for folder, old, target in asked:
+            new, n = target, 0
+            if target != old:
+                base, ending = os.path.splitext(target)
+                while new in taken:
+                    n += 1
+                    new = f"{base}_{n}{ending}"
+                taken.discard(old)
+                taken.add(new)
+            yield folder, old, new, target, "unchanged" if target == old else "renamed"
+
+    def emitted(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(5)], ["folder", "old", "new", "target", "status"])
+
+    for batch in batches:
+        out: list[tuple] = []
+        for folder, old, target, root in zip(*(batch.column(c).to_pylist() for c in ("folder", "old", "target", "root")), strict=True):
+            if (folder, root) != key:
+                out += flush()
+                key, taken, asked = (folder, root), set(), []
+            taken.add(old)
+            if target is not None:
+                asked.append((folder, old, target))
+        yield emitted(out)
+    yield emitted(list(flush()))
 
 
 def rename_counts(plan: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import breaks, tidy_breaks
 
+_WORDS = re.compile(r"\s|\S+")
 SCRIPT = T.ArrayType(T.StructType([T.StructField("op", T.IntegerType()), T.StructField("text", T.StringType())]))
 
 
@@ -18,16 +20,16 @@ SCRIPT = T.ArrayType(T.StructType([T.StructField("op", T.IntegerType()), T.Struc
 def edit_script(original: pd.Series, transcribed: pd.Series) -> pd.Series:
     """Character edits that turn the original into the transcript: 0 equal, -1 only in the original, 1 only in the transcript."""
 
+    def edits(a: list[str] | str, b: list[str] | str) -> list[tuple[str, list | str, list | str]]:
+        return [(tag, a[i:j], b[k:m]) for tag, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes()]
+
     def one(a: str, b: str) -> list[tuple[int, str]]:
-        out = []
-        for tag, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-            if tag == "equal":
-                out.append((0, a[i:j]))
-                continue
-            if i < j:
-                out.append((-1, a[i:j]))
-            if k < m:
-                out.append((1, b[k:m]))
+        """Words first, then characters where words differ, so that long texts stay cheap."""
+        out: list[tuple[int, str]] = []
+        for tag, x, y in edits(_WORDS.findall(a), _WORDS.findall(b)):
+            x, y = "".join(x), "".join(y)
+            for kind, u, v in [(tag, x, y)] if tag != "replace" else edits(x, y):
+                out += [(0, u)] if kind == "equal" else [(op, t) for op, t in ((-1, u), (1, v)) if t]
         return out
 
     return pd.Series([None if a is None or b is None else [{"op": o, "text": t} for o, t in one(a, b)] for a, b in zip(original, transcribed, strict=True)])
