@@ -17,6 +17,7 @@ from .shared import persisted
 END_OF_DOCUMENT = 1  #: id appended to every document
 CHUNK = 5 << 22  #: bytes of text whose distinct words are tokenised together; a longer text is worked on in parts
 TOGETHER = 500  #: words tokenised in one string
+COMMON = 1 << 17  #: frequent words of its first chunk whose ids a worker keeps, at most
 CELL_ROWS = 128  #: pieces of one length that are ranked together, on average
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -27,7 +28,7 @@ class WordIds:
 
     The vocabulary's kind drops ASCII white space, and no token, composition or special
     string spans it, so a text's ids are its words' ids in a row.  Each distinct word of
-    a chunk of texts is tokenised once; nothing is kept from chunk to chunk.
+    a chunk of texts is tokenised once; only the first chunk's frequent words are kept.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -40,6 +41,8 @@ class WordIds:
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.mark, self.mark_id = next(iter(special.items()), ("", -1))
         self.specials = tuple(special)
+        self.common: dict[str, int] = {}
+        self.flat, self.first, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text, in order; a null text has none."""
@@ -61,13 +64,33 @@ class WordIds:
         buffers = [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
         lists = pc.split_pattern(pa.Array.from_buffers(pa.string(), len(offsets) - 1, buffers), " ")
         coded = lists.flatten().dictionary_encode()
-        flat, first, size = self._distinct(coded.dictionary.to_pylist())
-        word = np.asarray(coded.indices)
+        found, word = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        known = np.array([self.common.get(w, -1) for w in found], np.int64)
+        new = np.flatnonzero(known < 0)
+        more, first_new, size_new = self._distinct([found[i] for i in new])
+        flat = np.concatenate([self.flat, more])
+        first, size = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+        old = known >= 0
+        first[old], size[old] = self.first[known[old]], self.size[known[old]]
+        first[new], size[new] = first_new + len(self.flat), size_new
+        if not self.common:
+            self._keep(found, np.bincount(word, minlength=len(found)), flat, first, size)
         ends = np.concatenate(([0], np.cumsum(size[word])))
         source = np.repeat((first[word] - ends[:-1]).astype(np.int32), size[word])
         source += np.arange(len(source), dtype=np.int32)
         return flat[source], ends[np.asarray(lists.offsets)]
 
+    def _keep(self, found: list[str], counts: np.ndarray, flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        """Keeps the ids of the most frequent words that came more than once."""
+        often = np.argsort(-counts, kind="stable")[:COMMON]
+        often = often[(counts[often] > 1) & (size[often] <= 16)]
+        if len(often) < 1000:  # too few texts to tell
+            return
+        self.common = {found[i]: n for n, i in enumerate(often)}
+        self.size = size[often]
+        self.first = np.cumsum(self.size) - self.size
+        self.flat = flat[np.repeat(first[often] - self.first, self.size) + np.arange(self.size.sum())]
+
     def _distinct(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words in a row, each word's first one and their number.
 
