@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,7 @@ NGRAM, PERCENT = 5, 80
 SAMPLE = 0.3  #: share of the hash range whose n-grams the first bound is computed on
 BLOCK = 256  #: documents of a cluster that make a row block of the product
 INNER = 4096  #: n-grams of a column block
+SPAN = 1 << 40  #: numbers of blocks that a band has room for
 LOWEST = -(1 << 63)  #: stands for a null doc_id
 
 
@@ -213,6 +214,28 @@ def prefixes(grams: DataFrame, percent: int) -> DataFrame:
     return shared.where(room > 0).select("d", F.explode(F.slice("g", F.lit(1), room.cast("int"))).alias("g")).select("g.h", "d")
 
 
+def band(n: Column, percent: int) -> Column:
+    """Bands of set sizes: two sets that link are in one band or in neighbouring ones."""
+    width = max(math.log(100 / percent) * (1 + 1e-9), 1e-6)  # a little wider than the ratio that links allow, for rounding's sake
+    return F.floor(F.log(n.cast("double")) / width)
+
+
+def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(cluster, low, high, own, d, grams): every row once for each block pair that its own block is part of.
+
+    ``rows``: d, n, grams, cluster, and the cluster's number of rows and of blocks in
+    each band.  A cluster of up to ``BLOCK`` rows is one block.  A larger one is cut into
+    blocks within bands, and blocks meet only where their sizes allow a link.  A row's
+    place in its band comes from its id and its set, so rows that share an id spread out.
+    """
+    whole = F.col("rows") <= BLOCK
+    out = rows.withColumn("band", F.when(whole, 0).otherwise(band(F.col("n"), percent))).withColumn("blocks", F.when(whole, F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))).otherwise(F.col("blocks")))
+    out = out.withColumn("own", F.col("band") * SPAN + F.pmod(F.xxhash64("d", F.col("grams")[0]), F.col("blocks")[F.col("band")]))
+    near = "filter(array(band - 1, band, band + 1), b -> map_contains_key(blocks, b))"
+    out = out.withColumn("other", F.explode(F.expr(f"flatten(transform({near}, b -> transform(sequence(0L, blocks[b] - 1), i -> b * {SPAN} + i)))")))
+    return out.select("cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "d", "grams")
+
+
 def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """Every document with its set size, its number of links and its component.
 
@@ -225,8 +248,9 @@ def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> Da
        n-grams are its own than a link may miss links with nothing.
     3. Documents that share one of their rarest n-grams are clustered.
     4. Each cluster's incidence matrix is multiplied with its transpose, in row blocks
-       of about ``BLOCK`` documents and column blocks of n-grams, discarding pairs that
-       their sizes rule out.  Only a spanning star of the links leaves a block.
+       of about ``BLOCK`` documents of similar size and column blocks of n-grams,
+       discarding block pairs and pairs that their sizes rule out.  Only a spanning star
+       of the links leaves a block.
     5. Links and classes give the components.
 
     Nulls: a null text is an empty set, linked with nothing; a null doc_id counts as the
@@ -257,12 +281,10 @@ def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> Da
     cluster = components(posts.join(hubs, "h").where("d <> hub"), "d", "hub")
     cluster = persisted(cluster.unionByName(cluster.select(F.col("component").alias("node"), "component").distinct()))
 
-    sizes = persisted(cluster.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
-    member = cluster.join(sizes, "component").select(
-        F.col("node").alias("d"), F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")
-    )
-    paired = grams.join(member, "d").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "d", "grams")
+    member = cluster.select(F.col("node").alias("d"), F.col("component").alias("cluster"))
+    banded = grams.select("d", band(F.col("n"), percent).alias("band")).join(member, "d").groupBy("cluster", "band").agg(F.count("*").alias("rows"))
+    blocks = persisted(banded.groupBy("cluster").agg(F.sum("rows").alias("rows"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("rows") / BLOCK)))).alias("blocks")))
+    paired = block_pairs(grams.join(member.join(blocks, "cluster"), "d"), percent)
     key = ["cluster", "low", "high"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stars = persisted(products(paired.repartition(parts, *key).sortWithinPartitions(*key), percent))

@@ -169,6 +169,33 @@ def test_ngram_join(docs, rows):
     assert ngram_join.ngram_join(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_ngram_join_blocks(spark, monkeypatch, percent):
+    """A cluster over many blocks and size bands, with an id that many rows share and one without."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rnd = random.Random(6)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(k + 1, " ".join(base[a : a + n])) for k, (a, n) in enumerate((rnd.randrange(60), rnd.choice([6, 7, 9, 20, 24, 60, 75, 90, 240])) for _ in range(90))]
+    rows += [(i, " ".join(base[k : k + 200])) for i in (500, None) for k in range(0, 40, 5)]
+    low = -(1 << 63)
+    items = [(low if i is None else i, frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4))) for i, w in ((i, t.split()) for i, t in rows)]
+    parent = {i: i for i, _ in items}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, x) in enumerate(items):
+        for j, y in items[:a]:
+            if 100 * len(x & y) >= percent * len(x | y):
+                u, v = find(i), find(j)
+                parent[max(u, v)] = min(u, v)
+    show = lambda i: None if i == low else i
+    out = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), percent=percent).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == Counter((show(i), len(x), show(find(i))) for i, x in items)
+
+
 def test_linked_blocks(monkeypatch):
     monkeypatch.setattr(ngram_join, "INNER", 16)
     rnd = np.random.default_rng(0)
