@@ -53,7 +53,7 @@ def _strip_sql(c: str) -> str:
 
 _MANIFEST = f"""
     doc AS (SELECT doc_id, 'src' || doc_id % 7 || '/clip' || doc_id || CASE WHEN doc_id % 5 = 0 THEN '.wav' ELSE '' END AS name,
-                   substr(regexp_replace(text, '[\\n\\r|]', ' ', 'g'), 1, 40) AS t FROM documents),
+                   regexp_replace(text, '[\\n\\r|]', ' ', 'g') AS t FROM documents),
     lines AS (SELECT doc_id AS line_no, CASE doc_id % 11 WHEN 0 THEN '' WHEN 1 THEN name WHEN 2 THEN name || '|' || t || '|' || replace(t, 'e', 'E') WHEN 3 THEN name || '|' || t || '|'
                      WHEN 4 THEN name || '|' || t || '|' || t || '|more' ELSE name || '| ' || t || chr(12288) END AS value FROM doc),
     fields AS (SELECT line_no, value, string_split(value, '|') AS f FROM lines),
@@ -118,14 +118,14 @@ def time_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH d AS (SELECT doc_id, substr(text, 1, 80) AS t FROM documents), c AS (SELECT doc_id, t,
+    f"""WITH d AS (SELECT doc_id, text AS t FROM documents), c AS (SELECT doc_id, t,
     regexp_replace(regexp_replace(regexp_replace(t, '({_SPACE}|[''"‘’“”「」『』])+', '_', 'g'), '^_+', ''), '_+$', '') AS n FROM d)
     SELECT doc_id, CASE WHEN n = '' THEN '_' ELSE n END AS clean, {_strip_sql("t")} AS stripped,
     replace(replace(replace(replace(replace(replace('(' || chr(10) || t || chr(10) || ')', '(' || chr(10), chr(10) || '('), '“' || chr(10), chr(10) || '“'), '‘' || chr(10), chr(10) || '‘'),
     chr(10) || ')', ')' || chr(10)), chr(10) || '”', '”' || chr(10)), chr(10) || '’', '’' || chr(10)) AS tidy FROM c"""
 )
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = inputs.table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 80).alias("t"))
+    d = inputs.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("t"))
     framed = F.concat(F.lit("(\n"), "t", F.lit("\n)"))
     return d.select("doc_id", text.clean_name("t").alias("clean"), text.strip("t").alias("stripped"), text.tidy_breaks(framed).alias("tidy"))
 
@@ -246,7 +246,7 @@ def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH n AS (SELECT doc_id, source AS folder, regexp_replace(substr(text, 1, 24), '[/\\n]', ' ', 'g') || '.txt' AS old FROM documents),
+    f"""WITH n AS (SELECT doc_id, source AS folder, replace(split_part(text, chr(10), 1), '/', ' ') || '.txt' AS old FROM documents),
     s AS (SELECT *, CASE WHEN regexp_matches(old, '^(?s:(.+))(\\.[^.]+)$') THEN regexp_extract(old, '^((?s:.)+)(\\.[^.]+)$', 1) ELSE old END AS st, regexp_extract(old, '^((?s:.)+)(\\.[^.]+)$', 2) AS sx FROM n),
     c AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(st, '({_SPACE}|[''"‘’“”「」『』])+', '_', 'g'), '^_+', ''), '_+$', '') AS k FROM s)
     SELECT DISTINCT folder || '/' || old AS path, folder, old, CASE WHEN k = '' THEN '_' ELSE k END || sx AS target FROM c"""

@@ -52,7 +52,7 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line_no, value): documents as manifest lines of none to four fields, some empty."""
     name = F.concat(F.lit("src"), (F.col("doc_id") % 7).cast("string"), F.lit("/clip"), F.col("doc_id").cast("string"))
     name = F.when(F.col("doc_id") % 5 == 0, F.concat(name, F.lit(".wav"))).otherwise(name)
-    text = F.substring(F.regexp_replace("text", "[\n\r|]", " "), 1, 40)
+    text = F.regexp_replace("text", "[\n\r|]", " ")
     kind = F.col("doc_id") % 11
     value = (
         F.when(kind == 0, "")
@@ -74,6 +74,6 @@ def audio_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path, pos): a file for each document, named after its first words, in a folder of its source."""
-    name = F.concat(F.regexp_replace(F.substring("text", 1, 24), "[/\n]", " "), F.lit(".txt"))
+    """(path, pos): a file for each document, named after its first line, in a folder of its source."""
+    name = F.concat(F.replace(F.substring_index("text", "\n", 1), F.lit("/"), F.lit(" ")), F.lit(".txt"))
     return table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", name).alias("path"), F.col("doc_id").alias("pos"))
