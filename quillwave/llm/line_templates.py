@@ -29,12 +29,15 @@ def leaves(rows: DataFrame) -> DataFrame:
     return lines.withColumn("lead", F.array_join(F.transform(F.slice(tokens, 1, DEPTH), masked), " "))
 
 
-def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataFrame:
+def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float, levels: bool = True) -> DataFrame:
     """(d, t, lines): for each document, its lines whose template recurs in ``min_docs`` documents or more.
 
     1. Leaves with fewer lines than ``min_docs`` are done with.
     2. In a leaf, a token is fixed at its place if ``min_docs`` lines have it there, and a
-       variable field otherwise; that gives each distinct line its template.
+       variable field otherwise; that gives each distinct line its template.  With
+       ``levels`` the same is done at 2, 4, 8, ... times that support, so a field whose
+       values are frequent themselves is still a field next to tokens that all of the
+       boilerplate's lines have, whatever the number of lines.
     3. Templates with enough fixed tokens and enough documents are boilerplate.
 
     Leaves, tokens and templates are only counted and joined back from written tables, so
@@ -46,13 +49,15 @@ def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataF
 
     distinct = held.groupBy(*LEAF, "lh", "line").agg(F.count("*").alias("c"))
     tokens = persisted(distinct.select(*LEAF, "lh", "c", F.posexplode(F.split("line", " ")).alias("pos", "token")).withColumn("token", masked(F.col("token"))))
-    fixed = persisted(tokens.where(F.col("token") != FIELD).groupBy(*LEAF, "pos", "token").agg(F.sum("c").alias("s")).where(F.col("s") >= min_docs).drop("s"))
-    known = tokens.join(fixed.withColumn("known", F.col("token")), [*LEAF, "pos", "token"], "left").select(*LEAF, "lh", F.struct("pos", F.coalesce("known", F.lit(FIELD)).alias("token")).alias("x"))
+    fixed = persisted(tokens.where(F.col("token") != FIELD).groupBy(*LEAF, "pos", "token").agg(F.sum("c").alias("s")).where(F.col("s") >= min_docs))
+    doublings = F.length(F.bin(F.floor(F.col("s") / min_docs))) if levels else F.lit(1)  # the levels at which a token is fixed
+    fixed = fixed.select(*LEAF, "pos", "token", doublings.alias("up"))
+    known = tokens.join(fixed, [*LEAF, "pos", "token"], "left").select(*LEAF, "lh", F.struct("pos", "token", F.coalesce("up", F.lit(0)).alias("up")).alias("x"))
     template = known.groupBy(*LEAF, "lh").agg(F.array_sort(F.collect_list("x")).alias("x"))  # a line's own tokens
-    template = template.select(
-        *LEAF, "lh", F.xxhash64(F.transform("x", lambda x: x["token"])).alias("template"), F.size(F.filter("x", lambda x: x["token"] != FIELD)).alias("f")
-    )
-    template = persisted(template.where(F.col("f") >= fixed_share * F.col("n")).drop("f"))
+    # Between the levels up to which its tokens are fixed a line's template is the same.
+    template = template.withColumn("level", F.explode(F.array_distinct(F.filter(F.transform("x", lambda x: x["up"]), lambda up: up > 0))))
+    template = template.where(F.size(F.filter("x", lambda x: x["up"] >= F.col("level"))) >= fixed_share * F.col("n"))
+    template = persisted(template.select(*LEAF, "lh", F.xxhash64(F.transform("x", lambda x: F.when(x["up"] >= F.col("level"), x["token"]).otherwise(FIELD))).alias("template")))
 
     used = persisted(held.select(*LEAF, "lh", "d", "t").join(template, [*LEAF, "lh"]).select(*LEAF, "template", "d", "t", "lh"))
     often = persisted(used.select(*LEAF, "template", "d", "t").distinct().groupBy(*LEAF, "template").count().where(F.col("count") >= min_docs).drop("count"))
@@ -61,7 +66,7 @@ def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataF
 
 
 def line_dedup(
-    docs: DataFrame, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE, max_share: float = MAX_SHARE
+    docs: DataFrame, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE, max_share: float = MAX_SHARE, levels: bool = True
 ) -> DataFrame:
     """``docs`` without the lines whose template recurs across documents; n_lines and n_dropped long are added.
 
@@ -69,7 +74,7 @@ def line_dedup(
     ``MIN_TOKENS`` tokens stay.  Boilerplate is dropped from every document, but a
     document of which it makes up more than ``max_share`` of the characters is a copy of
     others rather than a page with boilerplate: it stays whole, for the near-duplicate
-    operators to judge.
+    operators to judge.  ``levels``: see ``recurring_lines``.
 
     Nulls: a null text stays null and has no lines; a null doc_id is an id like others.
     Repeated rows (same id and text) are one document.  A line repeated in one document
@@ -84,7 +89,7 @@ def line_dedup(
         "text",
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"),
     )
-    marked = rows.join(recurring_lines(rows.select("d", "t", "text"), min_docs, fixed_share), ["d", "t"], "left")
+    marked = rows.join(recurring_lines(rows.select("d", "t", "text"), min_docs, fixed_share, levels), ["d", "t"], "left")
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda x: ~F.array_contains("gone", F.xxhash64(x)))
     cut = F.when(F.col("gone").isNotNull(), kept)
