@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ DEPTH = 3  #: leading tokens that lead to a leaf, after the token count
 MIN_TOKENS = 4  #: shorter lines are never boilerplate
 MIN_DOCS = 10  #: documents in which a template recurs
 FIXED_SHARE = 0.75  #: share of a template's tokens that aren't variable
-MAX_SHARE = 0.3  #: share of a document's characters that its boilerplate may make up
+MAX_SHARE = 0.3  #: share of a document's characters beyond which its boilerplate may be a sign of a copy
+NGRAM, OWN_PERCENT = 5, 20  #: words of an n-gram, and how many in 100 only a page with text of its own has to itself
 FIELD = "<*>"
 LEAF = ["n", "lead"]
 
@@ -65,16 +68,33 @@ def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float, levels:
     return gone.groupBy("d", "t").agg(F.collect_set("lh").alias("gone"))  # a document's own lines
 
 
+def with_own_text(rows: DataFrame) -> DataFrame:
+    """(d, t): the documents of ``rows`` of whose word n-grams more are in no other of them than a copy may have.
+
+    A document that links with another at 80 % of their n-grams can't have more than a
+    fifth of its own to itself, so none of these is a near copy of another one.
+    """
+    words = F.filter(F.split(F.translate("text", ascii_uppercase, ascii_lowercase), r"[ \t-\r]+"), lambda w: w != "")
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - NGRAM + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, NGRAM))))
+    each = persisted(rows.dropDuplicates(["d", "t"]).select("d", "t", words.alias("w")).where(F.size("w") > 0).select("d", "t", F.explode(grams).alias("h")))
+    sizes = each.groupBy("d", "t").agg(F.count("*").alias("n"))
+    single = each.groupBy("h").agg(F.min("d").alias("d"), F.min("t").alias("t"), F.count("*").alias("c")).where("c = 1")
+    own = single.groupBy("d", "t").agg(F.count("*").alias("own"))
+    return own.join(sizes, ["d", "t"]).where(100 * F.col("own") > OWN_PERCENT * F.col("n")).select("d", "t")
+
+
 def line_dedup(
-    docs: DataFrame, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE, max_share: float = MAX_SHARE, levels: bool = True
+    docs: DataFrame, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE, max_share: float = MAX_SHARE, levels: bool = True, evidence: bool = True
 ) -> DataFrame:
     """``docs`` without the lines whose template recurs across documents; n_lines and n_dropped long are added.
 
     Lines end at line feeds and tokens at single spaces.  Lines of fewer than
-    ``MIN_TOKENS`` tokens stay.  Boilerplate is dropped from every document, but a
-    document of which it makes up more than ``max_share`` of the characters is a copy of
-    others rather than a page with boilerplate: it stays whole, for the near-duplicate
-    operators to judge.  ``levels``: see ``recurring_lines``.
+    ``MIN_TOKENS`` tokens stay.  Boilerplate is dropped from every document, but one
+    of which it makes up more than ``max_share`` of the characters may be a copy of
+    others rather than a page with boilerplate.  With ``evidence`` such documents are
+    compared, and those that are too different for copies (``with_own_text``) lose their
+    boilerplate like others; without, and if they may be copies, they stay whole, for the
+    near-duplicate operators to judge.  ``levels``: see ``recurring_lines``.
 
     Nulls: a null text stays null and has no lines; a null doc_id is an id like others.
     Repeated rows (same id and text) are one document.  A line repeated in one document
@@ -94,7 +114,13 @@ def line_dedup(
     kept = F.filter(lines, lambda x: ~F.array_contains("gone", F.xxhash64(x)))
     cut = F.when(F.col("gone").isNotNull(), kept)
     out = marked.withColumns({"lines": F.size(lines), "kept": cut}).withColumn("short", F.array_join("kept", "\n"))
-    changed = F.col("kept").isNotNull() & (F.length("text") - F.length("short") <= max_share * F.length("text"))
+    light = F.length("text") - F.length("short") <= max_share * F.length("text")
+    if evidence:
+        out = persisted(out)
+        pages = persisted(with_own_text(out.where(F.col("kept").isNotNull() & ~light).select("d", "t", "text")).withColumn("page", F.lit(True)))
+        out = out.join(pages, ["d", "t"], "left")
+        light = light | F.col("page").isNotNull()
+    changed = F.col("kept").isNotNull() & light
     return out.select(
         *[F.when(changed, F.col("short")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns],
         F.when(F.col("text").isNull(), 0).otherwise(F.col("lines")).cast("long").alias("n_lines"),

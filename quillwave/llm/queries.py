@@ -60,8 +60,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Its SQL knows one level of support only.
-    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), levels=False)
+    # Its SQL knows one level of support and the share of characters only.
+    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), levels=False, evidence=False)
     return kept.select("doc_id", "n_lines", "n_dropped", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_md5"))
 
 
