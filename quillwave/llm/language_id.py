@@ -19,6 +19,8 @@ CHUNK = 1 << 20  #: bytes whose subwords are looked up at once
 SAMPLE_PER_LANGUAGE = 800  #: training documents of a language at most
 SAMPLE_BYTES = 1 << 16  #: longer documents aren't drawn for training
 REJECT_SHARE = 0.001  #: share of the calibration documents that may be rejected
+FAMILIAR_SHARE = 0.1  #: share of a language's training documents that a familiar subword is in
+CALIBRATION = 100  #: calibration documents without which nothing is known of what is unfamiliar
 UNDETERMINED = "und"
 
 # ASCII letters in lower case, other ASCII as one blank, bytes of longer characters as they are.
@@ -49,19 +51,26 @@ def subwords(data: np.ndarray, starts: np.ndarray, a: int, b: int) -> Iterator[n
 
 @dataclass
 class LanguageModel:
-    """Languages, the logit that each bucket adds for each, bias, temperature and the score below which a text is rejected."""
+    """Languages, the logit that each bucket adds for each, bias, temperature and the score below which a text is rejected.
+
+    ``familiar`` marks the buckets that are common in one of the languages; a text with a
+    smaller share of them than ``least_familiar`` is in none of the languages.
+    """
 
     languages: list[str]
     logits: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    familiar: np.ndarray | None = None
+    least_familiar: float = 0.0
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Calibrated probabilities (texts x languages) of the texts between consecutive offsets."""
+    def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Calibrated probabilities (texts x languages) of the texts between consecutive offsets, and their shares of familiar subwords."""
         n, c = len(offsets) - 1, len(self.languages)
-        total, count = np.zeros((n, c)), np.zeros(n)
-        table = np.vstack([self.logits, np.zeros((1, c), np.float32)])
+        total, count = np.zeros((n, c + 1)), np.zeros(n)
+        familiar = np.ones(BUCKETS) if self.familiar is None else self.familiar
+        table = np.vstack([np.column_stack([self.logits, familiar]), np.zeros((1, c + 1))]).astype(np.float32)
         for a in range(int(offsets[0]), int(offsets[-1]), CHUNK):
             b = min(a + CHUNK, int(offsets[-1]))
             first, last = np.searchsorted(offsets, [a, b - 1], side="right") - 1
@@ -72,7 +81,8 @@ class LanguageModel:
             for bucket in subwords(data, starts, a, b):
                 total[docs] += np.add.reduceat(table[bucket], cut, axis=0)
                 count[docs] += np.add.reduceat(bucket < BUCKETS, cut)
-        return softmax((total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature)
+        mean = total / np.maximum(count, 1)[:, None]
+        return softmax((mean[:, :c] + self.bias) / self.temperature), np.where(count > 0, mean[:, c], 1.0)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -87,6 +97,11 @@ def train(texts: list[str], languages: list[str], epochs: int = 4, rate: float =
     gives the languages.  The temperature minimises the calibration texts' log loss.
     The threshold rejects ``REJECT_SHARE`` of them at most, and never a text whose best
     language has half of the probability.
+
+    Probabilities say which of the known languages is nearest, not whether one is near.
+    For that, a text's share of familiar subwords is held against the calibration texts'
+    shares, of which ``REJECT_SHARE`` at most may be below the limit, too.  With fewer
+    than ``CALIBRATION`` of them there is no such limit.
     """
     known = sorted(set(languages))
     y = np.array([known.index(x) for x in languages])
@@ -119,6 +134,13 @@ def train(texts: list[str], languages: list[str], epochs: int = 4, rate: float =
             bias -= step * 0.1 * p
             e[ids] -= step * 8 * np.outer(share, g)
     model = LanguageModel(known, (e @ w).astype(np.float32), bias)
+    if len(held) >= CALIBRATION:
+        seen = np.zeros((BUCKETS, len(known)))
+        for i in fit:
+            seen[bags[i][0], y[i]] += 1
+        model.familiar = (seen >= np.maximum(1, FAMILIAR_SHARE * np.bincount(y[fit], minlength=len(known)))).any(axis=1)
+        shares = np.sort([bags[i][1] @ model.familiar[bags[i][0]] if len(bags[i][0]) else 1.0 for i in held])
+        model.least_familiar = float(shares[int(len(shares) * REJECT_SHARE)]) - 1e-5  # for the rounding of sums
     if len(held) and len(known) > 1:
         z = np.array([bags[i][1] @ model.logits[bags[i][0]] + bias for i in held])
         loss = {t: -np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in np.geomspace(0.05, 20, 61)}
@@ -159,7 +181,8 @@ def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFram
     scan task, without a shuffle.
 
     A null text, or one without a letter, gets `und`, score 0 and is rejected, as is
-    every text if nothing was labelled.  Rows are judged alone, so ties and repeated
+    every text if nothing was labelled.  A text in none of the labelled languages keeps
+    its nearest one and its score, and is rejected.  Rows are judged alone, so ties and repeated
     rows don't matter; existing columns of the new names are replaced.  An empty table
     gives an empty result.
     """
@@ -176,13 +199,14 @@ def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFram
         for batch in batches:
             letters = np.asarray(batch.column("_letters").to_numpy(zero_copy_only=False), dtype=bool)
             lang = np.full(batch.num_rows, UNDETERMINED, dtype=object)
-            score = np.zeros(batch.num_rows)
+            score, far = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             if m.languages and batch.num_rows:
                 data, offsets = text_bytes(batch.column("text"))
-                p = m.scores(data, offsets)
+                p, near = m.scores(data, offsets)
+                far = near < m.least_familiar
                 lang[letters] = np.array(m.languages, dtype=object)[p.argmax(axis=1)][letters]
                 score[letters] = p.max(axis=1)[letters]
-            rejected = ~letters | (lang == UNDETERMINED) | (score < m.threshold)
+            rejected = ~letters | (lang == UNDETERMINED) | (score < m.threshold) | far
             kept = [c for c in batch.schema.names if c != "_letters"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
