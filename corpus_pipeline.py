@@ -35,10 +35,17 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their word 5-grams, the one with the smallest id; rows that share it stay together."""
-    groups = ngram_join(docs.select("doc_id", "text"), size=5, percent=80)
-    kept = persisted(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct())
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """Of rows linked by their word 5-grams, the one with the smallest id (then text hash); a null id is the lowest.
+
+    Every row has a key of its own, numbered once and written, so rows that share an id
+    or are repeated are judged one by one.
+    """
+    keyed = persisted(docs.withColumn("_row", F.monotonically_increasing_id()))
+    groups = ngram_join(keyed.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80)
+    order = keyed.select("_row", F.struct(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("t"), "_row").alias("first"))
+    first = groups.join(order, F.col("doc_id") == F.col("_row")).groupBy("component_id").agg(F.min("first").alias("first"))
+    kept = persisted(first.select("first._row"))
+    return keyed.join(kept, "_row", "left_semi").drop("_row")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
