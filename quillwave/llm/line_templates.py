@@ -76,7 +76,7 @@ def with_own_text(rows: DataFrame) -> DataFrame:
     """
     words = F.filter(F.split(F.translate("text", ascii_uppercase, ascii_lowercase), r"[ \t-\r]+"), lambda w: w != "")
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - NGRAM + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, NGRAM))))
-    each = persisted(rows.dropDuplicates(["d", "t"]).select("d", "t", words.alias("w")).where(F.size("w") > 0).select("d", "t", F.explode(grams).alias("h")))
+    each = rows.dropDuplicates(["d", "t"]).select("d", "t", words.alias("w")).where(F.size("w") > 0).select("d", "t", F.explode(grams).alias("h"))
     sizes = each.groupBy("d", "t").agg(F.count("*").alias("n"))
     single = each.groupBy("h").agg(F.min("d").alias("d"), F.min("t").alias("t"), F.count("*").alias("c")).where("c = 1")
     own = single.groupBy("d", "t").agg(F.count("*").alias("own"))
@@ -116,8 +116,8 @@ def line_dedup(
     out = marked.withColumns({"lines": F.size(lines), "kept": cut}).withColumn("short", F.array_join("kept", "\n"))
     light = F.length("text") - F.length("short") <= max_share * F.length("text")
     if evidence:
-        out = persisted(out)
-        pages = persisted(with_own_text(out.where(F.col("kept").isNotNull() & ~light).select("d", "t", "text")).withColumn("page", F.lit(True)))
+        heavy = persisted(out.where(F.col("kept").isNotNull() & ~light).select("d", "t", "text"))
+        pages = persisted(with_own_text(heavy).withColumn("page", F.lit(True)))
         out = out.join(pages, ["d", "t"], "left")
         light = light | F.col("page").isNotNull()
     changed = F.col("kept").isNotNull() & light
