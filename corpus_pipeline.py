@@ -35,17 +35,20 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows linked by their word 5-grams, the one with the smallest id (then text hash); a null id is the lowest.
+    """Of rows linked by their word 5-grams, the one with the smallest id; a null id is the lowest.
 
-    Every row has a key of its own, numbered once and written, so rows that share an id
-    or are repeated are judged one by one.
+    A document is an id with a text, known by a hash of both, so rows that share an id
+    are judged one by one; of repeated rows one stays.
     """
-    keyed = persisted(docs.withColumn("_row", F.monotonically_increasing_id()))
-    groups = ngram_join(keyed.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80)
-    order = keyed.select("_row", F.struct(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("t"), "_row").alias("first"))
-    first = groups.join(order, F.col("doc_id") == F.col("_row")).groupBy("component_id").agg(F.min("first").alias("first"))
-    kept = persisted(first.select("first._row"))
-    return keyed.join(kept, "_row", "left_semi").drop("_row")
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text").isNull(), "text")
+    docs = docs.withColumn("_key", key)
+    groups = ngram_join(docs.select(F.col("_key").alias("doc_id"), "text"), size=5, percent=80).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    each = persisted(docs.groupBy("_key").agg(F.min(F.col("doc_id").cast("long")).alias("d"), F.count("*").alias("rows")))
+    first = groups.join(each, "_key").groupBy("component_id").agg(F.min(F.struct("d", "_key", "rows")).alias("first"))
+    kept = persisted(first.select("first._key", "first.rows"))
+    out = docs.join(kept, "_key")
+    repeated = out.where("rows > 1").dropDuplicates(["_key"])
+    return out.where("rows = 1").unionByName(repeated).drop("_key", "rows")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
