@@ -1,9 +1,11 @@
-"""Texts as one array of UTF-8 bytes, their words, and hashes of words and word runs, all in numpy."""
+"""Texts as one array of UTF-8 bytes, their words, and keyed hashes of words and word runs, in numpy."""
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,23 +34,47 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_POWERS: dict[tuple[int, bool], np.ndarray] = {}
+def joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The hash of two parts in a row, from theirs."""
+    return mixed(x * np.uint64(0x9E3779B97F4A7C15) ^ y)
 
 
-def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
-    """base^0 .. base^(n - 1) modulo 2^64, or those of its inverse."""
-    have = _POWERS.get((base, inverse))
-    if have is None or len(have) < n:
-        size = max(n, CHUNK + 1)
-        step = pow(base, -1, 1 << 64) if inverse else base
-        have = np.full(size, step, dtype=np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if size <= 4 * CHUNK:
-            _POWERS[base, inverse] = have
-    return have[:n]
+LANES = 8  #: groups of eight bytes up to which a word is hashed in numpy; a longer one by BLAKE2
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the lowest n bytes
+
+
+def new_key() -> int:
+    """A key for one job's hashes.
+
+    Drawn anew each time, so no text can be written beforehand to collide; all tasks of a
+    job get the same one with their closure.
+    """
+    return secrets.randbits(64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int) -> np.ndarray:
+    """64-bit keyed hashes of the words between ``start`` and ``end``.
+
+    Eight bytes at a time go through a mixing step that is not linear, the word's length
+    first, so words of up to eight bytes never collide with one of their length and others
+    only by chance.
+    """
+    held = np.zeros(len(data) + 8, np.uint8)
+    held[: len(data)] = data
+    lanes = np.ndarray((len(data) + 1,), "<u8", buffer=held, strides=(1,))
+    n = end - start
+    h = mixed((lanes[start] & _LOW[np.minimum(n, 8)]) ^ mixed(n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(key)))
+    for k in range(1, LANES):
+        more = np.flatnonzero(n > 8 * k)
+        if not len(more):
+            return h
+        x = lanes[start[more] + 8 * k] & _LOW[np.minimum(n[more] - 8 * k, 8)]
+        h[more] = joined(h[more], x)
+    raw = data.tobytes() if (n > 8 * LANES).any() else b""
+    for i in np.flatnonzero(n > 8 * LANES):
+        digest = hashlib.blake2b(raw[start[i] : end[i]], digest_size=8, key=key.to_bytes(8, "big")).digest()
+        h[i] = int.from_bytes(digest, "big")
+    return h
 
 
 @dataclass
@@ -63,6 +89,21 @@ class Words:
     doc: np.ndarray  #: text of each word, from 0
     at: np.ndarray  #: n + 1 positions of the texts' first words
     cut: np.ndarray  #: n + 1 positions of the texts' first bytes
+    _power: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def rehashed(self, key: int) -> Words:
+        """The same words with hashes under another key."""
+        return replace(self, hash=word_hashes(self.data, self.start, self.end, key), _power={})
+
+    def power(self, k: int) -> np.ndarray:
+        """Hash of the 2^k words from each word on, out of two halves' hashes."""
+        if k == 0:
+            return self.hash
+        if k not in self._power:
+            x = self.power(k - 1)
+            half = 1 << (k - 1)
+            self._power[k] = joined(x[:-half], x[half:]) if len(x) > half else x[:0]
+        return self._power[k]
 
     def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Start word and 64-bit hash of every run of ``size`` words inside one text."""
@@ -73,10 +114,18 @@ class Words:
         return pos, self.spans(pos, pos + size)
 
     def spans(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """64-bit hash of the words from a to b - 1, for arrays of a and b."""
-        total = np.zeros(len(self.hash) + 1, np.uint64)
-        np.cumsum(self.hash * powers(_WORD_BASE, len(self.hash)), out=total[1:])
-        return mixed((total[b] - total[a]) * powers(_WORD_BASE, len(total), inverse=True)[a] + (b - a).astype(np.uint64))
+        """64-bit hash of the words from a to b - 1, for arrays of a and b.
+
+        Of n words, that of the first and the last 2^k, with 2^k the largest power up to n:
+        together they are all of the words, and spans of one length overlap alike.
+        """
+        n = b - a
+        level = np.frexp(n)[1] - 1
+        out = np.zeros(len(n), np.uint64)
+        for k in np.unique(level):
+            x, own = self.power(int(k)), np.flatnonzero(level == k)
+            out[own] = joined(x[a[own]], x[b[own] - (1 << int(k))])
+        return mixed(out + n.astype(np.uint64))
 
 
 def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
@@ -88,7 +137,7 @@ def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Iterator[Words]:
+def words(data: np.ndarray, offsets: np.ndarray, key: int, lower: bool = False) -> Iterator[Words]:
     """Words of the texts, maximal runs of bytes other than 0x20 and 0x09-0x0D; ``lower`` folds A-Z."""
     for a, b in chunks(offsets):
         lo, hi = int(offsets[a]), int(offsets[b])
@@ -104,9 +153,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Iterato
             begins = begins & (np.concatenate(([True], blank[:-1])) | cut[:-1])
             ends = ends & (np.concatenate((blank[1:], [True])) | cut[1:])
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        total = np.zeros(len(x) + 1, np.uint64)
-        np.cumsum(_BYTES[x] * powers(_BASE, len(x)), out=total[1:])
-        h = mixed((total[end] - total[start]) * powers(_BASE, len(x) + 1, inverse=True)[start] + (end - start).astype(np.uint64))
+        h = word_hashes(x, start, end, key)
         at = np.searchsorted(start, offsets[a : b + 1] - lo)
         doc = np.repeat(np.arange(b - a), np.diff(at))
         yield Words(a, x, start, end, h, doc, at, offsets[a : b + 1] - lo)

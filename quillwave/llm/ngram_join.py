@@ -10,16 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import Words, mixed, text_bytes, words
+from .bytetext import Words, mixed, new_key, text_bytes, words
 from .components import components
-from .shared import persisted
+from .shared import LOWEST, persisted
 
 NGRAM, PERCENT = 5, 80
 SAMPLE = 0.3  #: share of the hash range whose n-grams the first bound is computed on
-BLOCK = 256  #: documents of a cluster that make a row block of the product
+BLOCK = 256  #: documents of a cluster that make a row block of the product, on average
+BLOCK_GRAMS = 1 << 20  #: n-grams that a row block holds, on average; a single longer text is a block
 INNER = 4096  #: n-grams of a column block
 SPAN = 1 << 40  #: numbers of blocks that a band has room for
-LOWEST = -(1 << 63)  #: stands for a null doc_id
 
 
 @dataclass
@@ -28,26 +28,31 @@ class Sets:
 
     h: np.ndarray
     at: np.ndarray
+    twin: np.ndarray | None = None  #: the same n-grams' hashes under a second key
 
     @property
     def n(self) -> np.ndarray:
         return np.diff(self.at)
 
 
-def ngram_sets(w: Words, size: int) -> Sets:
-    """The set of every text; a text with fewer words than ``size`` has its whole sequence as one."""
-    pos, h = w.runs(size)
-    doc = w.doc[pos]
+def ngram_sets(w: Words, size: int, short_ones: bool = False, second_key: int | None = None) -> Sets:
+    """The set of every text; of one with fewer words than ``size`` its whole sequence, with ``short_ones``, else nothing."""
     counts = np.diff(w.at)
-    short = np.flatnonzero((counts > 0) & (counts < size))
-    h = np.concatenate([h, w.spans(w.at[short], w.at[short + 1])])
-    doc = np.concatenate([doc, short])
+    short = np.flatnonzero((counts > 0) & (counts < size)) if short_ones else np.zeros(0, np.int64)
+
+    def hashes(w: Words) -> tuple[np.ndarray, np.ndarray]:
+        pos, h = w.runs(size)
+        return pos, np.concatenate([h, w.spans(w.at[short], w.at[short + 1])])
+
+    pos, h = hashes(w)
+    doc = np.concatenate([w.doc[pos], short])
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    twin = None if second_key is None else hashes(w.rehashed(second_key))[1][order][new]
     h, doc = h[new], doc[new]
-    return Sets(h, np.searchsorted(doc, np.arange(len(counts) + 1)))
+    return Sets(h, np.searchsorted(doc, np.arange(len(counts) + 1)), twin)
 
 
 def summed(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -62,30 +67,30 @@ def slack(n: Column, percent: int) -> Column:
     return F.floor(n * (100 - percent) / 100).cast("long")
 
 
-def digests(docs: DataFrame, size: int) -> DataFrame:
-    """(d, k1, k2, n): the set's size and two hashes of the set as a whole, for every document."""
+def digests(docs: DataFrame, size: int, key: int) -> DataFrame:
+    """(d, k1, k2, n, short): size and two hashes, under two keys, of every document's whole set; short: it has fewer words than an n-gram."""
+    second = (key * 0x9E3779B97F4A7C15 + 1) % (1 << 64)
 
     def run(batches):
         for batch in batches:
             d = batch.column("d")
-            for w in words(*text_bytes(batch.column("text")), lower=True):
-                s = ngram_sets(w, size)
-                k1, k2 = (summed(mixed(s.h ^ np.uint64(x)), s.at).view(np.int64) for x in (0x51, 0xA7C3))
-                yield pa.RecordBatch.from_arrays(
-                    [d.slice(w.first, len(s.n)), pa.array(k1), pa.array(k2), pa.array(s.n.astype(np.int64))], ["d", "k1", "k2", "n"]
-                )
+            for w in words(*text_bytes(batch.column("text")), key, lower=True):
+                s = ngram_sets(w, size, short_ones=True, second_key=second)
+                k1, k2 = (pa.array(summed(mixed(x), s.at).view(np.int64)) for x in (s.h, s.twin))
+                short = pa.array(np.diff(w.at) < size)
+                yield pa.RecordBatch.from_arrays([d.slice(w.first, len(s.n)), k1, k2, pa.array(s.n.astype(np.int64)), short], ["d", "k1", "k2", "n", "short"])
 
-    return docs.select("d", "text").mapInArrow(run, "d long, k1 long, k2 long, n long")
+    return docs.select("d", "text").mapInArrow(run, "d long, k1 long, k2 long, n long, short boolean")
 
 
-def sampled(docs: DataFrame, size: int, share: float) -> DataFrame:
+def sampled(docs: DataFrame, size: int, share: float, key: int) -> DataFrame:
     """(h, d): the n-grams of every document whose hash is in the lowest ``share`` of the range."""
     limit = np.uint64(int(share * 2.0**64))
 
     def run(batches):
         for batch in batches:
             d = batch.column("d").to_numpy(zero_copy_only=False)
-            for w in words(*text_bytes(batch.column("text")), lower=True):
+            for w in words(*text_bytes(batch.column("text")), key, lower=True):
                 s = ngram_sets(w, size)
                 low = s.h < limit
                 doc = np.repeat(np.arange(len(s.n)), s.n)[low]
@@ -94,13 +99,13 @@ def sampled(docs: DataFrame, size: int, share: float) -> DataFrame:
     return docs.select("d", "text").mapInArrow(run, "h long, d long")
 
 
-def sets(docs: DataFrame, size: int) -> DataFrame:
+def sets(docs: DataFrame, size: int, key: int) -> DataFrame:
     """(d, n, grams): every document's whole sorted set."""
 
     def run(batches):
         for batch in batches:
             d = batch.column("d")
-            for w in words(*text_bytes(batch.column("text")), lower=True):
+            for w in words(*text_bytes(batch.column("text")), key, lower=True):
                 s = ngram_sets(w, size)
                 lists = pa.ListArray.from_arrays(pa.array(s.at.astype(np.int32)), pa.array(s.h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([d.slice(w.first, len(s.n)), pa.array(s.n.astype(np.int64)), lists], ["d", "n", "grams"])
@@ -223,12 +228,13 @@ def band(n: Column, percent: int) -> Column:
 def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(cluster, low, high, own, d, grams): every row once for each block pair that its own block is part of.
 
-    ``rows``: d, n, grams, cluster, and the cluster's number of rows and of blocks in
-    each band.  A cluster of up to ``BLOCK`` rows is one block.  A larger one is cut into
-    blocks within bands, and blocks meet only where their sizes allow a link.  A row's
-    place in its band comes from its id and its set, so rows that share an id spread out.
+    ``rows``: d, n, grams, cluster, whether the cluster is whole, and its number of blocks
+    in each band.  A cluster of up to ``BLOCK`` rows and ``BLOCK_GRAMS`` n-grams is one
+    block.  A larger one is cut into blocks within bands, and blocks meet only where their
+    sizes allow a link.  A row's place in its band comes from its id and its set, so rows
+    that share an id spread out.
     """
-    whole = F.col("rows") <= BLOCK
+    whole = F.col("whole")
     out = rows.withColumn("band", F.when(whole, 0).otherwise(band(F.col("n"), percent))).withColumn("blocks", F.when(whole, F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))).otherwise(F.col("blocks")))
     out = out.withColumn("own", F.col("band") * SPAN + F.pmod(F.xxhash64("d", F.col("grams")[0]), F.col("blocks")[F.col("band")]))
     near = "filter(array(band - 1, band, band + 1), b -> map_contains_key(blocks, b))"
@@ -253,6 +259,10 @@ def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> Da
        of the links leaves a block.
     5. Links and classes give the components.
 
+    N-grams are compared by 64 bits of a keyed hash whose key is drawn for each run, whole
+    sets by 128 bits; a set of one n-gram, or a text shorter than one, is only ever compared
+    as a whole set where more than half must be shared.
+
     Nulls: a null text is an empty set, linked with nothing; a null doc_id counts as the
     lowest and comes out as null.  Rows that share an id are one document for links.
     Repeated rows are copies of a class.  Extra columns are ignored.  An empty table
@@ -262,15 +272,19 @@ def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> Da
     component_id long (smallest id reached, its own included).
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"), "text")
-    each = persisted(digests(rows, size))
-    classes = persisted(each.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("d").alias("d")))
+    key = new_key()
+    each = persisted(digests(rows, size, key))
+    classes = persisted(each.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("d").alias("d"), F.first("short").alias("short")))
+    # A text shorter than an n-gram links with equal ones only, and so does a set of one if more than half must be shared.
+    least = 2 if percent > 50 else 1
+    open_ = classes.where(~F.col("short") & (F.col("n") >= least)).select("d").distinct()
     # An id with several rows is never ruled out: its rows' n-grams can't be told apart.
     single = each.where("n > 0").groupBy("d").agg(F.max("n").alias("n"), F.count("*").alias("rows"))
-    own = alone(sampled(rows, size, SAMPLE))
+    own = alone(sampled(rows, size, SAMPLE, key))
     ruled_out = own.join(single, "d").where((F.col("rows") == 1) & (F.col("own") > slack(F.col("n"), percent))).select("d")
-    left = persisted(classes.select("d").distinct().join(ruled_out, "d", "left_anti"))
+    left = persisted(open_.join(ruled_out, "d", "left_anti"))
 
-    grams = persisted(sets(rows.join(left, "d"), size).where("n > 0"))
+    grams = persisted(sets(rows.join(left, "d"), size, key).where(F.col("n") >= least))
     several = grams.groupBy("d").agg(F.max("n").alias("n"), F.count("*").alias("rows"))
     own = alone(grams.select("d", F.explode("grams").alias("h")))
     ruled_out = own.join(several, "d").where((F.col("rows") == 1) & (F.col("own") > slack(F.col("n"), percent))).select("d")
@@ -282,12 +296,17 @@ def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> Da
     cluster = persisted(cluster.unionByName(cluster.select(F.col("component").alias("node"), "component").distinct()))
 
     member = cluster.select(F.col("node").alias("d"), F.col("component").alias("cluster"))
-    banded = grams.select("d", band(F.col("n"), percent).alias("band")).join(member, "d").groupBy("cluster", "band").agg(F.count("*").alias("rows"))
-    blocks = persisted(banded.groupBy("cluster").agg(F.sum("rows").alias("rows"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("rows") / BLOCK)))).alias("blocks")))
+    banded = grams.select("d", "n", band(F.col("n"), percent).alias("band")).join(member, "d").groupBy("cluster", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("grams"))
+    parted = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS))
+    blocks = persisted(
+        banded.groupBy("cluster").agg(
+            ((F.sum("rows") <= BLOCK) & (F.sum("grams") <= BLOCK_GRAMS)).alias("whole"), F.map_from_entries(F.collect_list(F.struct("band", parted))).alias("blocks")
+        )
+    )
     paired = block_pairs(grams.join(member.join(blocks, "cluster"), "d"), percent)
-    key = ["cluster", "low", "high"]
+    pair = ["cluster", "low", "high"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stars = persisted(products(paired.repartition(parts, *key).sortWithinPartitions(*key), percent))
+    stars = persisted(products(paired.repartition(parts, *pair).sortWithinPartitions(*pair), percent))
     links = stars.groupBy("d").agg(F.sum("links").alias("n_links"))
     reached = components(stars, "d", "root").select(F.col("node").alias("d"), "component")
     known = persisted(classes.join(links, "d", "left").join(reached, "d", "left").select("k1", "k2", "n", "n_links", F.coalesce("component", "d").alias("component")))

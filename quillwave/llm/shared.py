@@ -1,30 +1,44 @@
-"""Tables written to the folder that the driver and all executors share."""
+"""Tables written to the folder that the driver and all executors share, and keys of documents."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHARED_DIR = "quillwave.shared.dir"  #: setting that names the folder where the other one is absent
 
+LOWEST = -(1 << 63)  #: stands for a null doc_id, so that it comes before all others
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path below the session's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) a temporary folder is made
-    and recorded in the session, so later calls find the same one.
+def shared_root(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, else ``quillwave.shared.dir``.
+
+    With neither, a local session (one machine, so any folder is shared) gets a folder of
+    its own below the system's temporary one; on a cluster that is an error.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/quillwave-{uuid.uuid4().hex}"
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(SHARED_DIR, None)
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR}, or {SHARED_DIR} in the session, to a folder that the driver and all executors share")
+    root = f"file://{tempfile.gettempdir()}/quillwave-{os.getpid()}-{spark.sparkContext.applicationId}"
+    spark.conf.set(SHARED_DIR, root)
+    return root
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_root(spark)}/quillwave-{uuid.uuid4().hex}"
 
 
-def persisted(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+def persisted(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder (at ``path``, if given) and read back.
 
     Cuts the lineage without depending on any executor: a lost executor costs
     only its running tasks.  The reread table has no known partitioning, so a
@@ -32,6 +46,37 @@ def persisted(df: DataFrame) -> DataFrame:
     when a key is hot.
     """
     spark = df.sparkSession
-    path = shared_dir(spark)
+    path = path or shared_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Deletes written tables that nothing will read again, in whatever store they are."""
+    context = spark.sparkContext
+    for p in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def text_key(docs: DataFrame) -> tuple[Column, Column]:
+    """Two longs that tell rows with one doc_id apart by their text: a 128-bit digest, or zeros where no id repeats.
+
+    Ids that are all different tell documents apart themselves; one count of the ids
+    decides, and results are the same either way.
+    """
+    ids = docs.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d")).count()
+    if not ids.where("count > 1").head(1):
+        return F.lit(0).cast("long"), F.lit(0).cast("long")
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+
+    def part(a: int) -> Column:
+        return F.conv(F.substring(digest, a, 15), 16, 10).cast("long")
+
+    # 60 bits each, and one more to keep a null text apart from an empty one
+    return part(1), part(16) * 2 + F.col("text").isNull().cast("long")

@@ -6,13 +6,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .bytetext import Words, text_bytes, words
-from .shared import persisted
+from .bytetext import Words, new_key, text_bytes, words
+from .shared import LOWEST, persisted, quoted, text_key
 
 WINDOW = 20  #: words of the shortest repeat that is removed
 GRAM = 4  #: words of an anchor
-SEEDS = "h long, span long, d long, t int, first int, n int"
+DOCUMENT = ["d", "t", "u"]  #: what tells a document: its id and, where ids repeat, a digest of its text
+SEEDS = "h long, span long, d long, t long, u long, first int, n int"
 
 
 def anchors(w: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -44,54 +46,51 @@ def anchors(w: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` as d long (the id, nulls lowest), t int (a hash of the text), text and a struct of the other columns.
-
-    Rows that share an id are told apart by ``t``; rows equal in both are one document.
-    """
-    rest = [docs[c] for c in docs.columns if c != "text"]
+    """``docs`` as d long (the id, nulls lowest), t and u long (see ``text_key``), text and a struct of the other columns."""
+    t, u = text_key(docs)
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"),
-        F.coalesce(F.hash("text"), F.lit(0)).alias("t"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"),
+        t.alias("t"),
+        u.alias("u"),
         F.col("text"),
-        F.struct(*rest).alias("rest"),
+        F.struct(*[quoted(c).alias(c) for c in docs.columns if c != "text"]).alias("rest"),
     )
 
 
-def seeds(rows: DataFrame, window: int, gram: int) -> DataFrame:
+def seeds(rows: DataFrame, window: int, gram: int, key: int) -> DataFrame:
     """Every anchor of every text."""
 
     def run(batches):
         for batch in batches:
-            d, t = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "t"))
-            for w in words(*text_bytes(batch.column("text"))):
+            ids = [batch.column(c).to_numpy(zero_copy_only=False) for c in DOCUMENT]
+            for w in words(*text_bytes(batch.column("text")), key):
                 _, h, span, first, n = anchors(w, window, gram)
                 doc = w.doc[first]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(h.view(np.int64)),
                         pa.array(span.view(np.int64)),
-                        pa.array(d[w.first + doc]),
-                        pa.array(t[w.first + doc]),
+                        *(pa.array(x[w.first + doc]) for x in ids),
                         pa.array((first - w.at[doc]).astype(np.int32)),
                         pa.array(n.astype(np.int32)),
                     ],
-                    ["h", "span", "d", "t", "first", "n"],
+                    ["h", "span", *DOCUMENT, "first", "n"],
                 )
 
-    return rows.select("d", "t", "text").mapInArrow(run, SEEDS)
+    return rows.select(*DOCUMENT, "text").mapInArrow(run, SEEDS)
 
 
-def windows(texts: DataFrame, window: int) -> DataFrame:
-    """(h, w, d, t, s): hash w of every window that the listed seeds of a text stand for."""
+def windows(texts: DataFrame, window: int, key: int) -> DataFrame:
+    """(h, w, d, t, u, s): hash w of every window that the listed seeds of a text stand for."""
 
     def run(batches):
         for batch in batches:
-            d, t = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "t"))
+            ids = [batch.column(c).to_numpy(zero_copy_only=False) for c in DOCUMENT]
             listed = batch.column("seeds")
             at = np.concatenate(([0], np.cumsum(np.asarray(listed.value_lengths()))))
             flat = listed.flatten()
             h, first, n = (np.asarray(flat.field(c)) for c in ("h", "first", "n"))
-            for w in words(*text_bytes(batch.column("text"))):
+            for w in words(*text_bytes(batch.column("text")), key):
                 docs = len(w.at) - 1
                 own = slice(at[w.first], at[w.first + docs])
                 doc = np.repeat(np.arange(docs), np.diff(at[w.first : w.first + docs + 1]))
@@ -103,14 +102,13 @@ def windows(texts: DataFrame, window: int) -> DataFrame:
                     [
                         pa.array(anchor),
                         pa.array(w.spans(a, a + window).view(np.int64)),
-                        pa.array(d[w.first + doc]),
-                        pa.array(t[w.first + doc]),
+                        *(pa.array(x[w.first + doc]) for x in ids),
                         pa.array(s.astype(np.int32)),
                     ],
-                    ["h", "w", "d", "t", "s"],
+                    ["h", "w", *DOCUMENT, "s"],
                 )
 
-    return texts.select("d", "t", "text", "seeds").mapInArrow(run, "h long, w long, d long, t int, s int")
+    return texts.select(*DOCUMENT, "text", "seeds").mapInArrow(run, "h long, w long, d long, t long, u long, s int")
 
 
 def cut(texts: DataFrame, one_space: bool) -> DataFrame:
@@ -124,7 +122,7 @@ def cut(texts: DataFrame, one_space: bool) -> DataFrame:
             first, end = (np.asarray(flat.field(c)).astype(np.int64) for c in ("a", "e"))
             null = np.asarray(batch.column("text").is_null())
             out, total, removed = [], [], []
-            for w in words(*text_bytes(batch.column("text"))):
+            for w in words(*text_bytes(batch.column("text")), key=0):  # for their bounds alone
                 docs = len(w.at) - 1
                 own = slice(at[w.first], at[w.first + docs])
                 doc = np.repeat(np.arange(docs), np.diff(at[w.first : w.first + docs + 1]))
@@ -167,12 +165,12 @@ def cut(texts: DataFrame, one_space: bool) -> DataFrame:
                 ["rest", "text", "n_words", "n_removed"],
             )
 
-    rest = texts.schema["rest"].dataType.simpleString()
-    return texts.select("rest", "text", "cuts").mapInArrow(run, f"rest {rest}, text string, n_words long, n_removed long")
+    kept = StructType([texts.schema["rest"], texts.schema["text"], StructField("n_words", LongType()), StructField("n_removed", LongType())])
+    return texts.select("rest", "text", "cuts").mapInArrow(run, kept)
 
 
 def repeats(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(d, t, cuts): for each document with repeats, the ranges [a, e) of words to take out.
+    """(d, t, u, cuts): for each document with repeats, the ranges [a, e) of words to take out.
 
     1. Seeds of all texts; those whose anchor occurs more than once go on.
     2. Seeds alike in anchor and in all words around it are extended to the full span
@@ -185,21 +183,22 @@ def repeats(rows: DataFrame, window: int, gram: int) -> DataFrame:
     passage in most documents is a skewed join that adaptive execution splits, never a
     group of pairs.
     """
-    found = seeds(rows, window, gram)
+    key, place = new_key(), "struct(d, t, u, first)"
+    found = seeds(rows, window, gram, key)
     shared = persisted(found.groupBy("h").count().where("count > 1").select("h"))
     seen = persisted(found.join(shared, "h"))
-    spans = persisted(seen.groupBy("h", "span").agg(F.min(F.struct("d", "t", "first")).alias("m"), F.first("n").alias("n"), F.count("*").alias("c")))
-    again = seen.join(spans.where("c > 1").select("h", "span", "m"), ["h", "span"]).where("struct(d, t, first) > m")
-    again = again.select("d", "t", F.col("first").alias("a"), (F.col("first") + F.col("n") + (window - 1)).alias("e"))
+    spans = persisted(seen.groupBy("h", "span").agg(F.min(F.expr(place)).alias("m"), F.first("n").alias("n"), F.count("*").alias("c")))
+    again = seen.join(spans.where("c > 1").select("h", "span", "m"), ["h", "span"]).where(f"{place} > m")
+    again = again.select(*DOCUMENT, F.col("first").alias("a"), (F.col("first") + F.col("n") + (window - 1)).alias("e"))
 
     several = persisted(spans.groupBy("h").count().where("count > 1").select("h"))
-    open_seeds = spans.join(several, "h").select("m.d", "m.t", F.struct("h", "m.first", "n").alias("seed"))
-    listed = persisted(open_seeds.groupBy("d", "t").agg(F.collect_list("seed").alias("seeds")))  # a document's own
-    near = rows.select("d", "t", "text").join(listed, ["d", "t"])
-    opened = persisted(windows(near, window))
-    before = persisted(opened.groupBy("h", "w").agg(F.min(F.struct("d", "t", "s")).alias("m"), F.max(F.struct("d", "t", "s")).alias("x")).where("m < x").select("h", "w", "m"))
-    more = opened.join(before, ["h", "w"]).where("struct(d, t, s) > m").select("d", "t", F.col("s").alias("a"), (F.col("s") + window).alias("e"))
-    return again.unionByName(more).groupBy("d", "t").agg(F.collect_list(F.struct("a", "e")).alias("cuts"))
+    open_seeds = spans.join(several, "h").select(*[f"m.{c}" for c in DOCUMENT], F.struct("h", "m.first", "n").alias("seed"))
+    listed = persisted(open_seeds.groupBy(*DOCUMENT).agg(F.collect_list("seed").alias("seeds")))  # a document's own
+    near = rows.select(*DOCUMENT, "text").join(listed, DOCUMENT)
+    opened, place = persisted(windows(near, window, key)), "struct(d, t, u, s)"
+    before = persisted(opened.groupBy("h", "w").agg(F.min(F.expr(place)).alias("m"), F.max(F.expr(place)).alias("x")).where("m < x").select("h", "w", "m"))
+    more = opened.join(before, ["h", "w"]).where(f"{place} > m").select(*DOCUMENT, F.col("s").alias("a"), (F.col("s") + window).alias("e"))
+    return again.unionByName(more).groupBy(*DOCUMENT).agg(F.collect_list(F.struct("a", "e")).alias("cuts"))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, one_space: bool = False) -> DataFrame:
@@ -212,13 +211,16 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, one
     and n_removed long are added; columns of those names are replaced.
 
     Nulls: a null text stays null and has no words; a null doc_id comes before all
-    others.  Rows with the same id are ordered by a hash of their text; repeated rows
+    others.  Rows with the same id are ordered by a digest of their text; repeated rows
     (same id and text) are one document, so neither removes the other's words.  Empty
     texts and texts under ``window`` words are kept.  An empty table gives an empty one.
+
+    Windows are compared by 128 bits of keyed hashes (the anchor's and all words'), with a
+    key drawn for each run.
     """
-    docs = docs.select(*[c for c in docs.columns if c not in ("n_words", "n_removed")])
+    docs = docs.select(*[quoted(c) for c in docs.columns if c not in ("n_words", "n_removed")])
     rows = keyed(docs)
-    marked = rows.join(repeats(rows, window, gram), ["d", "t"], "left")
+    marked = rows.join(repeats(rows, window, gram), DOCUMENT, "left")
     out = cut(marked, one_space)
-    order = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+    order = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns]
     return out.select(*order, "n_words", "n_removed")
