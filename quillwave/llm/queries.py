@@ -60,8 +60,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Its SQL knows one level of support and the share of characters only.
-    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), levels=False, evidence=False)
+    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_md5"))
 
 
@@ -101,11 +100,11 @@ ORACLE_SQL = {
     """,
     "op9_line_templates": """
         WITH lines AS (
-            SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+            SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line, ' ') <> ''
         ), leafed AS (
             SELECT doc_id, line, len(string_split(line, ' ')) AS n,
                    array_to_string(list_transform(string_split(line, ' ')[1:3], lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ') AS lead
-            FROM lines WHERE len(string_split(line, ' ')) >= 4
+            FROM lines
         ), held AS (
             SELECT l.* FROM leafed l JOIN (SELECT n, lead FROM leafed GROUP BY n, lead HAVING count(*) >= 10) c ON l.n = c.n AND l.lead = c.lead
         ), spread AS (
@@ -114,28 +113,75 @@ ORACLE_SQL = {
         ), tokens AS (
             SELECT n, lead, line, c, pos, CASE WHEN regexp_matches(raw, '[0-9]') THEN '<*>' ELSE raw END AS token FROM spread
         ), fixed AS (
-            SELECT n, lead, pos, token FROM tokens WHERE token <> '<*>' GROUP BY n, lead, pos, token HAVING sum(c) >= 10
-        ), templates AS (
-            SELECT t.n, t.lead, t.line, list(coalesce(f.token, '<*>') ORDER BY t.pos) AS template, count(f.token) AS f
+            SELECT n, lead, pos, token, CAST(sum(c) AS BIGINT) // 10 AS s FROM tokens WHERE token <> '<*>' GROUP BY n, lead, pos, token HAVING sum(c) >= 10
+        ), known AS (
+            SELECT t.n, t.lead, t.line, t.pos, t.token, coalesce(length(bin(f.s)), 0) AS up
             FROM tokens t LEFT JOIN fixed f ON t.n = f.n AND t.lead = f.lead AND t.pos = f.pos AND t.token = f.token
-            GROUP BY t.n, t.lead, t.line
+        ), templates AS (
+            SELECT k.n, k.lead, k.line, l.level, list(CASE WHEN k.up >= l.level THEN k.token ELSE '<*>' END ORDER BY k.pos) AS template, count(*) FILTER (k.up >= l.level) AS f
+            FROM known k JOIN (SELECT DISTINCT line, up AS level FROM known WHERE up > 0) l ON k.line = l.line
+            GROUP BY k.n, k.lead, k.line, l.level
         ), used AS (
-            SELECT h.doc_id, h.line, p.template FROM held h JOIN templates p ON h.n = p.n AND h.lead = p.lead AND h.line = p.line
-            WHERE p.f >= 0.75 * p.n
+            SELECT h.doc_id, h.line, h.n, h.lead, p.template FROM held h JOIN templates p ON h.line = p.line WHERE p.f >= 0.75 * p.n
         ), often AS (
-            SELECT template FROM used GROUP BY template HAVING count(DISTINCT doc_id) >= 10
+            SELECT n, lead, template FROM used GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10
         ), gone AS (
-            SELECT doc_id, list(DISTINCT line) AS gone FROM used WHERE template IN (SELECT template FROM often) GROUP BY doc_id
+            SELECT doc_id, list(DISTINCT line) AS gone FROM used u JOIN often o ON u.n = o.n AND u.lead = o.lead AND u.template = o.template GROUP BY doc_id
         ), cut AS (
             SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS lines,
-                   CASE WHEN g.gone IS NULL THEN NULL ELSE list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(g.gone, x)) END AS kept
+                   CASE WHEN g.gone IS NULL THEN string_split(d.text, chr(10)) ELSE list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(g.gone, x)) END AS kept
             FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id
-        ), judged AS (
-            SELECT *, coalesce(kept IS NOT NULL AND length(text) - length(coalesce(array_to_string(kept, chr(10)), '')) <= 0.3 * length(text), FALSE) AS changed FROM cut
         )
-        SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
-               CAST(CASE WHEN changed THEN len(lines) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped,
-               md5(coalesce(CASE WHEN changed THEN array_to_string(kept, chr(10)) ELSE text END, '')) AS text_md5
-        FROM judged
+        SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(lines) - len(kept), 0) AS BIGINT) AS n_dropped,
+               md5(coalesce(array_to_string(kept, chr(10)), '')) AS text_md5
+        FROM cut
+    """,
+    "op2_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+            FROM pages
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM p
+    """,
+    "op7_substring_dedup": """
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)
+        ), later AS (
+            SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM windows) WHERE n > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM later
+        ), placed AS (
+            SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+        ), kept AS (
+            SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS text, count(*) AS n
+            FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i WHERE g.i IS NULL GROUP BY p.doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """,
+    "op10_ngram_join": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS w FROM documents
+        ), grams AS (
+            SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM d WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+        ), links AS (
+            SELECT o.a, o.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) o
+            JOIN sizes m ON o.a = m.doc_id JOIN sizes n ON o.b = n.doc_id WHERE 100 * o.c >= 80 * (m.n + n.n - o.c)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        )
+        SELECT r.a AS doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id FROM reach r LEFT JOIN sizes s ON r.a = s.doc_id GROUP BY r.a
     """,
 }

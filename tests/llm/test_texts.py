@@ -227,7 +227,7 @@ def test_components(spark):
 
 
 def test_line_dedup(spark, docs, rows):
-    out = line_templates.line_dedup(docs)
+    out = line_templates.line_dedup(docs, spare_copies=True)
     got = out.collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
     assert sum(r["n_dropped"] for r in got) == 30 and all("was printed" not in (r["text"] or "") for r in got)
@@ -235,11 +235,34 @@ def test_line_dedup(spark, docs, rows):
     assert all(r["text"] in same for r in got if not r["n_dropped"])
     assert all(r["n_lines"] == (0 if t is None else t.count("\n") + 1) for r in got if not r["n_dropped"] for t in [r["text"]])
     assert set(out.columns) == set(docs.columns) | {"n_lines", "n_dropped"}
-    copies = spark.createDataFrame([(i, f"a b c d\nmostly the same text here\nunique{i}") for i in range(20)], "doc_id long, text string")
-    assert line_templates.line_dedup(copies).where("n_dropped > 0").count() == 0
     assert line_templates.line_dedup(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_any_share_and_length(spark):
+    """Recurring lines go from every document, short ones and those that make up most of it, too."""
+    pages = [(i, f"Share\nab cd\na b c d\nmostly the same text here\n\nunique{i} {'x' * (i % 3)}") for i in range(20)]
+    other = [(100 + i, f"Share it\n{'y ' * i}") for i in range(9)]  # one document too few
+    out = {r["doc_id"]: r for r in line_templates.line_dedup(spark.createDataFrame(pages + other, "doc_id long, text string").repartition(3)).collect()}
+    assert all(out[i]["text"] == t.split("\n", 4)[4] and out[i]["n_dropped"] == 4 for i, t in pages if "3" not in t)
+    assert all(out[i]["text"] == t for i, t in other)
+
+
+def test_very_long_texts(spark, rows):
+    """A text of three million characters in one line, in many lines, and as one word."""
+    rnd = random.Random(3)
+    long = " ".join(f"v{rnd.randrange(10**6)}" for _ in range(400_000))
+    texts = [long, long.replace(" ", "\n"), "q" * 3_000_000, long + " end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: r for r in line_templates.line_dedup(df).collect()}
+    assert all(out[i]["text"] == t for i, t in enumerate(texts) if i != 1) and out[1]["n_lines"] == 400_000
+    out = {r["doc_id"]: r for r in substring_dedup.substring_dedup(df).collect()}
+    assert [out[i]["n_removed"] for i in range(4)] == [0, 400_000, 0, 400_000]
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_join(df).collect()}
+    assert out == {0: 0, 1: 0, 2: 2, 3: 0}
+    known = language_id.language_id(df.withColumn("lang", F.lit("xx"))).collect()
+    assert {r["lang_pred"] for r in known} == {"xx"}
+
+
 def test_sharding(spark, docs, rows):
     out = sharding.shard_documents(docs).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
