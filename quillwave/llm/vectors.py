@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-QUERY_BLOCK = 2048  #: queries sent to the executors at once, whatever their number
+QUERY_BYTES = 8 << 20  #: size of the queries sent to the executors at once, whatever their number
+QUERY_BLOCK = 16384  #: queries of a block, at most
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, nonzero: bool = False) -> DataFrame:
@@ -32,14 +33,17 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, nonzero: bool = False)
     return out.withColumn("embedding", v.cast("array<double>"))
 
 
-def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """Blocks of about ``block`` queries as {length: (ids, matrix)}.
+def query_blocks(queries: DataFrame, block: int | None = None) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Blocks of about ``block`` queries (else of ``QUERY_BYTES``) as {length: (ids, matrix)}.
 
     A repeated id asks once, with its smallest vector.  Blocks are cut by a hash
     of the id, so the driver never holds more than one of them.
     """
     queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    blocks = max(1, -(-queries.count() // block))
+    count, longest = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    if not count:
+        return
+    blocks = -(-count // (block or max(1, min(QUERY_BLOCK, QUERY_BYTES // (8 * longest)))))
     for b in range(blocks):
         table = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow()
         if table.num_rows:

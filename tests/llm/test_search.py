@@ -50,6 +50,25 @@ def test_exact_top_k_few(spark):
     assert [(r["rank"], r["vec_id"]) for r in sorted(twice, key=lambda r: r["rank"])] == [(1, 50), (2, 50)]
 
 
+def test_exact_top_k_of_large_components(spark):
+    """Every finite float and double, against Python's integers; scores beyond a long count as the end of its range."""
+    rnd = random.Random(9)
+    rows = [(i, [rnd.gauss(0, 1) * rnd.choice([1.0, 1.0, 2e7, 1e8, 1e20, 3e38]) for _ in range(6)]) for i in range(300)]
+    rows += [(1000, [1e300, 0.0, 0.0, 0.0, 0.0, 1.7e308]), (1050, [1.7e308] * 6), (1100, [1e20, -1e20, 5.0, 0.0, 0.0, 0.0]), (1101, [1.0, 1.0, 3.0, 0.0, 0.0, 0.0]), (1150, [0.0] * 6)]
+    whole = {i: [int(v) * 256 if abs(v) > 2**60 else math.floor(256 * v) for v in x] for i, x in rows}
+    top = 2**63 - 1
+    for limit in (1e9, math.inf):  # without and with scores beyond a long
+        some = [r for r in rows if max(map(abs, r[1])) < limit]
+        df = spark.createDataFrame(some, "vec_id long, embedding array<double>").repartition(3)
+        got = {}
+        for r in exact_top_k(df, df.where("vec_id % 50 = 0"), 7).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+        for q in (i for i, _ in some if i % 50 == 0):
+            score = {c: max(-top, min(top, sum(x * y for x, y in zip(whole[q], whole[c])))) for c, _ in some if c != q}
+            assert sorted(got.pop(q)) == [(n + 1, s, c) for n, (s, c) in enumerate(sorted(((s, c) for c, s in score.items()), key=lambda x: (-x[0], x[1]))[:7])]
+        assert not got
+
+
 def test_nearest(spark):
     rows = vectors(3000)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
