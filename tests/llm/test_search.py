@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from quillwave.llm import topk_search
+from quillwave.llm import hash_forest, topk_search
 from quillwave.llm.hash_forest import nearest
 from quillwave.llm.topk_search import exact_top_k
 
@@ -69,13 +69,22 @@ def test_exact_top_k_of_large_components(spark):
         assert not got
 
 
-def test_nearest(spark):
-    rows = vectors(3000)
+def clustered(n=6000, d=16, seed=1):
+    rnd = np.random.default_rng(seed)
+    centres = rnd.normal(size=(60, d))
+    x = centres[rnd.integers(0, 60, n)] + 0.15 * rnd.normal(size=(n, d))
+    return [(i, [float(v) for v in row], "x", "y") for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize("rows", [vectors(3000), clustered()], ids=["directions", "clusters"])
+def test_nearest(spark, rows):
+    """Recall of the shipped parameters against brute force, and exact scores."""
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    d = len(rows[0][1])
     got = {}
-    for r in nearest(df, df.where("vec_id % 100 = 0"), 10, wanted=800, shard=900).collect():
+    for r in nearest(df, df.where("vec_id % 100 = 0"), 10).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
-    have = {i: v for i, v in usable(rows) if v.any()}
+    have = {i: v for i, v in usable(rows, d) if v.any()}
     hit = total = 0
     for q in (i for i in have if i % 100 == 0):
         best = sorted((float(np.sqrt(((have[q] - have[c]) ** 2).sum())), c) for c in have if c != q)[:10]
@@ -88,6 +97,33 @@ def test_nearest(spark):
     assert hit / total >= 0.9 and not got
 
 
+def test_forest_prunes_clusters():
+    """With the shipped parameters a small share of clustered rows is scored, and a stored forest answers alike."""
+    rows = [(i, np.array(v)) for i, v, *_ in clustered(8000)]
+    ids, x = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    forests = [hash_forest.Forest(ids[a : a + 4096], x[a : a + 4096], 11) for a in range(0, len(ids), 4096)]
+    forests = [hash_forest.Forest.of(f.stored()) for f in forests]
+    q = ids % 100 == 0
+    first = {}
+    scored = 0
+    for f in forests:
+        for i, _, d, c, n in f.search(ids[q], x[q], 10, wanted=max(20, hash_forest.FIRST * f.count)):
+            first.setdefault(i, []).extend(zip(d, c))
+            scored += n
+    cosine = np.array([min(c for _, c in sorted(first[i])[:10]) for i in ids[q]])
+    for f in forests:
+        scored += sum(n for *_, n in f.search(ids[q], x[q], 10, level=hash_forest.levels(cosine, hash_forest.RECALL)))
+    assert scored < 0.25 * q.sum() * len(ids)
+
+
+def test_nearest_extremes(spark):
+    """Components near the largest double, and a copy of the query."""
+    rows = [(0, [1e308, -1e308]), (100, [1e308, -1e308]), (7, [-1e308, 1e308]), (8, [1e-300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in nearest(df, df.where("vec_id % 100 = 0"), 10).collect())
+    assert out[0] == (0, 1, 100) and out[3] == (100, 1, 0)
+
+
 def test_nearest_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (100, [1.0, 0.0]), (5, [1.0, 0.0])], "vec_id long, embedding array<float>")
     out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in nearest(df, df.where("vec_id % 100 = 0"), 10).collect())
