@@ -7,17 +7,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from .bytetext import text_bytes
+from .shared import quoted
 
 SIZES = (2, 3, 4)  #: bytes of a subword
 BUCKETS = 1 << 15
 DIMENSIONS = 16
 CHUNK = 1 << 20  #: bytes whose subwords are looked up at once
 SAMPLE_PER_LANGUAGE = 800  #: training documents of a language at most
-SAMPLE_BYTES = 1 << 16  #: longer documents aren't drawn for training
+SAMPLE = 16_000  #: training documents of all languages at most
+LANGUAGES = 400  #: languages that are learned at most, the most frequent ones
 REJECT_SHARE = 0.001  #: share of the calibration documents that may be rejected
 FAMILIAR_SHARE = 0.1  #: share of a language's training documents that a familiar subword is in
 CALIBRATION = 100  #: calibration documents without which nothing is known of what is unfamiliar
@@ -90,8 +94,22 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[str], languages: list[str], epochs: int = 4, rate: float = 1.0, seed: int = 7) -> LanguageModel:
-    """Stochastic gradient descent on all but a fifth of the texts; that fifth calibrates.
+Bag = tuple[np.ndarray, np.ndarray]  #: a text's buckets and the share of its subwords in each
+
+
+def bag(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text's subwords and how many are in each, in passes of ``CHUNK`` bytes."""
+    counts = np.zeros(BUCKETS + 1, np.int64)
+    for a in range(0, len(data), CHUNK):
+        b = min(len(data), a + CHUNK)
+        for bucket in subwords(data, np.zeros(b - a, np.int64), a, b):
+            counts += np.bincount(bucket, minlength=BUCKETS + 1)
+    ids = np.flatnonzero(counts[:BUCKETS])
+    return ids.astype(np.int32), counts[ids].astype(np.int32)
+
+
+def train(counted: list[tuple[np.ndarray, np.ndarray]], languages: list[str], epochs: int = 4, rate: float = 1.0, seed: int = 7) -> LanguageModel:
+    """Stochastic gradient descent on all but a fifth of the texts, given as :func:`bag`; that fifth calibrates.
 
     A text's vector is the mean of its subwords' embeddings; a linear softmax over it
     gives the languages.  The temperature minimises the calibration texts' log loss.
@@ -106,13 +124,8 @@ def train(texts: list[str], languages: list[str], epochs: int = 4, rate: float =
     known = sorted(set(languages))
     y = np.array([known.index(x) for x in languages])
     rng = np.random.default_rng(seed)
-    bags = []
-    for t in texts:
-        data = np.frombuffer(t.encode(), dtype=np.uint8)
-        found = np.concatenate(list(subwords(data, np.zeros(len(data), np.int64), 0, len(data)))) if len(data) else np.zeros(0, np.int32)
-        ids, counts = np.unique(found[found < BUCKETS], return_counts=True)
-        bags.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
-    order = rng.permutation(len(texts))
+    bags: list[Bag] = [(ids, (n / max(1, n.sum())).astype(np.float32)) for ids, n in counted]
+    order = rng.permutation(len(bags))
     held = order[: len(order) // 5]
     fit = order[len(order) // 5 :]
     e = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -156,21 +169,43 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """(text, lang) of ``SAMPLE_PER_LANGUAGE`` documents of each language at most, drawn by a hash of the id.
-
-    A first pass counts the documents of each language; only those whose hash falls into
-    the share that holds three times the sample go on to be ranked, so what is shuffled
-    doesn't grow with the table.  The counts are as many as there are language names.
+    """(lang, h, ids, n): the bags of the documents drawn for training, by a hash of id and text.
+
+    A first pass estimates how many different documents each language has.  The
+    ``LANGUAGES`` most frequent ones get ``SAMPLE_PER_LANGUAGE`` documents each, or an equal
+    part of ``SAMPLE`` if that is less.  Documents whose hash falls into the share that
+    holds three times as many are made bags of, whole texts of any length, in their scan
+    tasks, and only bags are shuffled and ranked.  So neither the shuffle nor the sample
+    grows with the table, repeated rows count once, and no length is left out.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & (F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    draw = labelled.select("lang", "text", F.xxhash64(F.col("doc_id"), F.lit("draw")).alias("h"))
-    within = F.lit(False)
-    for lang, n in counts.items():
-        share = min(1.0, 3 * SAMPLE_PER_LANGUAGE / n)
-        within = F.when(F.col("lang") == lang, F.pmod("h", F.lit(1 << 32)) < int(share * (1 << 32))).otherwise(within)
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    return draw.where(within).withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_PER_LANGUAGE).select("text", "lang")
+    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
+    draw = labelled.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.col("doc_id"), "text", F.lit("draw")).alias("h"))
+    sizes = draw.groupBy("lang").agg(F.approx_count_distinct("h", 0.03).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    each = min(SAMPLE_PER_LANGUAGE, SAMPLE // max(1, len(sizes)))
+    shares = [(r["lang"], int(min(1.0, 3 * each / max(1, r["n"])) * (1 << 32))) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(shares, "lang string, below long")
+    within = draw.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below")).select("lang", "h", "text")
+
+    def run(batches):
+        for batch in batches:
+            data, at = text_bytes(batch.column("text"))
+            bags = [bag(data[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+            columns = [pa.array([x[i] for x in bags], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), *columns], ["lang", "h", "ids", "n"])
+
+    bags = within.mapInArrow(run, "lang string, h long, ids array<int>, n array<int>")
+    once = bags.groupBy("lang", "h").agg(F.min(F.struct("ids", "n")).alias("bag"))
+    order = Window.partitionBy("lang").orderBy("h")
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("lang", "h", "bag.ids", "bag.n")
+
+
+def trained(docs: DataFrame) -> LanguageModel:
+    """A model of the languages of ``docs``, trained on the driver on the bounded :func:`training_sample`."""
+    sample = training_sample(docs).orderBy("lang", "h").toArrow()
+    if not sample.num_rows:
+        return LanguageModel([], np.zeros((0, 0)), np.zeros(0))
+    ids, n = ([np.asarray(x.values) for x in sample.column(c)] for c in ("ids", "n"))
+    return train(list(zip(ids, n, strict=True)), sample.column("lang").to_pylist())
 
 
 def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
@@ -181,37 +216,34 @@ def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFram
     scan task, without a shuffle.
 
     A null text, or one without a letter, gets `und`, score 0 and is rejected, as is
-    every text if nothing was labelled.  A text in none of the labelled languages keeps
+    every text if nothing was labelled.  A text in none of the learned languages keeps
     its nearest one and its score, and is rejected.  Rows are judged alone, so ties and repeated
     rows don't matter; existing columns of the new names are replaced.  An empty table
     gives an empty result.
     """
-    if model is None:
-        sample = training_sample(docs).orderBy("lang", "text").toPandas()
-        model = train(list(sample["text"]), list(sample["lang"])) if len(sample) else LanguageModel([], np.zeros((0, 0)), np.zeros(0))
-    new = ["held_out", "lang_pred", "score", "rejected", "_letters"]
-    base = docs.select(*[docs[c] for c in docs.columns if c not in new])
-    marked = base.withColumns({"held_out": held_out(F.col("doc_id")), "_letters": F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))})
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model or trained(docs))
+    new = ["held_out", "lang_pred", "score", "rejected"]
+    kept = [c for c in docs.columns if c not in new]
+    marked = docs.select(
+        F.struct(*[quoted(c).alias(c) for c in kept]).alias("row"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
+    )
+    place = kept.index("text")
 
     def predict(batches):
         m = sent.value
         for batch in batches:
-            letters = np.asarray(batch.column("_letters").to_numpy(zero_copy_only=False), dtype=bool)
+            letters = np.asarray(batch.column("letters").to_numpy(zero_copy_only=False), dtype=bool)
             lang = np.full(batch.num_rows, UNDETERMINED, dtype=object)
             score, far = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             if m.languages and batch.num_rows:
-                data, offsets = text_bytes(batch.column("text"))
+                data, offsets = text_bytes(pc.struct_field(batch.column("row"), [place]))
                 p, near = m.scores(data, offsets)
                 far = near < m.least_familiar
                 lang[letters] = np.array(m.languages, dtype=object)[p.argmax(axis=1)][letters]
                 score[letters] = p.max(axis=1)[letters]
             rejected = ~letters | (lang == UNDETERMINED) | (score < m.threshold) | far
-            kept = [c for c in batch.schema.names if c != "_letters"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
-                [*kept, "lang_pred", "score", "rejected"],
-            )
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*base.schema, *marked.select("held_out").schema])
-    return marked.mapInArrow(predict, f"{schema}, lang_pred string, score double, rejected boolean")
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], ["row", *new])
+
+    kinds = [BooleanType(), StringType(), DoubleType(), BooleanType()]
+    out = marked.mapInArrow(predict, StructType([marked.schema["row"], *[StructField(c, t) for c, t in zip(new, kinds, strict=True)]]))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *new)

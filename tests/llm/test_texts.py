@@ -1,6 +1,7 @@
 """Text operators against brute force, exact round trips or held-out accuracy."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -15,6 +16,7 @@ from quillwave.llm import language_id, line_templates, ngram_join, packing, shar
 from quillwave.llm.components import components
 from quillwave.llm.vocabularies import vocabulary
 
+DATA = "/root/testdata/sf0.01"
 BLANK = re.compile("[\x20\x09-\x0d]+")
 
 
@@ -64,11 +66,34 @@ def test_language_id(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in out)
     again = language_id.language_id(docs)  # odd rows, clashing columns
     assert again.count() == docs.count() and set(docs.columns) < set(again.columns)
+    for left in ("h", "rest"):  # the odd columns keep their values
+        assert Counter(map(tuple, again.select("doc_id", "text", left).collect())) == Counter(map(tuple, docs.select("doc_id", "text", left).collect()))
     unlabelled = language_id.language_id(df.withColumn("lang", F.lit(None).cast("string")))
     assert unlabelled.where("lang_pred <> 'und'").count() == 0
     assert language_id.language_id(df.limit(0)).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
+def test_language_id_on_the_table(spark):
+    """Held-out accuracy on the real table: documents that training never saw."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    out = language_id.language_id(docs).where("held_out and lang is not null and lang_pred <> 'und'").select("lang", "lang_pred", "rejected").collect()
+    assert len(out) > 200 and np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.97
+    assert np.mean([r["rejected"] for r in out]) < 0.03
+
+
+def test_language_sample(spark, monkeypatch):
+    """Long texts are drawn like short ones, repeated rows once, and rare languages give way beyond the bound."""
+    monkeypatch.setattr(language_id, "SAMPLE_PER_LANGUAGE", 30)
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    rows = [(i, f"kurz {i}", "kk") for i in range(500)] + [(None, "wieder", "kk")] * 400 + [(2000 + i, f"{i} " + "lang " * 40_000, "ll") for i in range(12)]
+    rows += [(3000 + i, f"mm {i}", "mm") for i in range(9)] + [(4000, "selten", "zz"), (5000, "", "kk"), (5001, None, "kk"), (5002, "x", None)]
+    sample = language_id.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)).collect()
+    fit = {k: sum(zlib.crc32(str(i if i is not None else "").encode()) % 3 != 1 for i in {r[0] for r in rows if r[2] == k and r[1]}) for k in ("ll", "mm")}
+    assert Counter(r["lang"] for r in sample) == {"kk": 30, **fit}
+    assert all(sum(r["n"]) > 400_000 for r in sample if r["lang"] == "ll") and len({r["h"] for r in sample}) == len(sample)
+
+
 def test_packing(docs, rows):
     path, size = vocabulary("word_bpe_49k.json"), 256
     tok = Tokenizer.from_file(path)
