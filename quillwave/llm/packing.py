@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,15 +22,47 @@ CHUNK = 5 << 22  #: bytes of text whose distinct words are tokenised together; a
 TOGETHER = 500  #: words tokenised in one string
 COMMON = 1 << 17  #: frequent words of its first chunk whose ids a worker keeps, at most
 CELL_ROWS = 128  #: pieces of one length that are ranked together, on average
+CELLS = 1 << 16  #: cells of one length, at most; beyond that they grow
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _parts(spec: dict | None, name: str) -> list[dict]:
+    """The steps of a normalizer or pre-tokenizer, in order."""
+    if not spec:
+        return []
+    return [x for one in spec[name] for x in _parts(one, name)] if spec["type"] == "Sequence" else [spec]
+
+
+def drops_blanks(spec: dict) -> bool:
+    """Whether a tokenizers file certainly gives a text the ids of its blank-separated words in a row.
+
+    Its first splitting step must throw white space away, its normalizer must change
+    characters without looking over a blank, and no added token may hold one.
+    """
+    local = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+    blanks = ({"Regex": r"\s+"}, {"String": " "})
+    for step in _parts(spec.get("normalizer"), "normalizers"):
+        if step["type"] not in local and not (step["type"] == "Replace" and step["pattern"] in blanks and step["content"] == " "):
+            return False
+    if any(c.isspace() for t in spec.get("added_tokens", []) for c in t["content"]):
+        return False
+    steps = _parts(spec.get("pre_tokenizer"), "pretokenizers")
+    if not steps:
+        return False
+    first = steps[0]
+    if first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and "Regex" in first["pattern"]:
+        # What isn't matched goes: no alternative may match white space.
+        word = regex.compile(first["pattern"]["Regex"])
+        return not any(c.isspace() for m in word.finditer("a \t b1 \n\r 2 . , \x0b\x0c !? 's 'll it's  'ré -- x\u3000y\xa0z") for c in m[0])
+    return first["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+
+
 class WordIds:
-    """Ids of texts, by the tokenizer's ids of their blank-separated words.
+    """Ids of texts, by the tokenizer's ids of their blank-separated words where :func:`drops_blanks`, else of whole texts.
 
-    The vocabulary's kind drops ASCII white space, and no token, composition or special
-    string spans it, so a text's ids are its words' ids in a row.  Each distinct word of
+    Where the vocabulary's kind drops ASCII white space, and no token, composition or
+    special string spans it, a text's ids are its words' ids in a row.  Each distinct word of
     a chunk of texts is tokenised once; only the first chunk's frequent words are kept.
     """
 
@@ -35,6 +70,8 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(vocabulary, encoding="utf-8") as f:
+            self.by_words = drops_blanks(json.load(f))
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -46,6 +83,10 @@ class WordIds:
 
     def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text, in order; a null text has none."""
+        if not self.by_words:
+            for text in column:
+                yield np.array(self.tokenizer.encode(text.as_py() or "", add_special_tokens=False).ids, dtype="<u4")
+            return
         raw, offsets = text_bytes(column)
         for a, b in chunks(offsets, CHUNK):
             data = raw[offsets[a] : offsets[b]]
@@ -217,8 +258,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096) -> DataFrame:
 
     Tokenising writes one narrow row a piece to the shared folder.  The driver sees only
     the count of each length, at most ``capacity`` rows, and plans on those.  Pieces get
-    ranks within their length in cells of about ``CELL_ROWS`` rows, so a length that
-    most documents share is still ranked by many tasks, and a bounded plan table turns
+    ranks within their length in cells of about ``CELL_ROWS`` rows, ``CELLS`` of them at
+    most, so a length that most documents share is still ranked by many tasks, and a bounded plan table turns
     the rank into sequence and offset.
 
     Every row is packed for itself, so repeated rows and null ids are kept; extra
@@ -230,7 +271,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096) -> DataFrame:
     spark = docs.sparkSession
     pieces = persisted(piece_rows(docs, vocabulary, capacity))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
-    cells = spark.createDataFrame([(n, -(-c // CELL_ROWS)) for n, c in counts.items()], "length long, _cells long")
+    cells = spark.createDataFrame([(n, min(CELLS, -(-c // CELL_ROWS))) for n, c in counts.items()], "length long, _cells long")
     plan_rows = spark.createDataFrame(
         plan(counts, capacity), "length long, _from long, _to long, _first long, _each long, _offset long"
     )
