@@ -7,7 +7,11 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import persisted, quoted
+
 CELLS = 1 << 13  #: hash cells around the ring; every virtual node stands at the start of one
+PART_ROWS = 1 << 12  #: rows of one cell that are ranked together, on average
+PARTS = 1 << 14  #: parts of one cell, at most
 VNODES = 32  #: virtual nodes of a shard
 
 
@@ -66,21 +70,32 @@ def bounded_ring(docs: DataFrame, shards: int, key: Column, id_cols: list[str],
     """``docs`` with ``shard`` int and ``slot`` long (gapless from 0 in each shard).
 
     A row's place on the ring is the hash of ``key``; the law is ``rows``: the shards'
-    counts differ by one at most.  Rows are ranked inside their hash cell (a window
-    over a thousandth of the rows or so), cells are summed to arcs, and the flow of
-    overflowing arcs is planned on one count an arc.  The tables joined back are
-    bounded by the number of cells and of arcs x shards.
+    counts differ by one at most.  Rows are ranked inside parts of their hash cell, dealt
+    by a hash of the row and, for rows equal throughout, of where they are read, so a cell
+    that a hot key fills is ranked by many tasks; parts are summed to cells, cells to
+    arcs, and the flow of overflowing arcs is planned on one count an arc.  The tables
+    joined back are bounded by the number of cells, of parts and of arcs x shards.
 
     Only rows beyond a full shard's capacity leave the place their hash gives, so a
     further shard moves about its own share of the rows and the overflow.
 
-    Equal keys are ordered by ``id_cols``; a null key has a place like any other.
-    Repeated rows get a slot each.  Empty input gives an empty result.
+    Rows of one part are ordered by ``id_cols``; a null key has a place like any other.
+    Repeated rows get a slot each, any of them any of theirs.  Columns of ``docs`` named
+    shard or slot are replaced.  Empty input gives an empty result.
     """
     spark = docs.sparkSession
     nodes = ring(shards, vnodes, cells)
-    placed = docs.withColumn("_cell", F.pmod(F.xxhash64(key), F.lit(cells)).cast("int"))
-    counts = {r["_cell"]: r["count"] for r in placed.groupBy("_cell").count().collect()}  # at most `cells` rows
+    docs = docs.select(*[quoted(c) for c in docs.columns if c not in ("shard", "slot")])
+    rows = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), F.pmod(F.xxhash64(key), F.lit(cells)).cast("int").alias("cell"))
+    sizes = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}  # at most `cells` rows
+    parts = spark.createDataFrame([(c, max(1, min(PARTS, n // PART_ROWS))) for c, n in sizes.items()], "cell int, parts int")
+    # The salt is drawn once, in a written table, as the rows' places are counted and ranked after it.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()), F.col("parts")).cast("int")
+    placed = persisted(rows.join(F.broadcast(parts), "cell").withColumn("part", F.when(F.col("parts") > 1, spread).otherwise(0)).drop("parts"))
+
+    counts = placed.groupBy("cell", "part").count()
+    before = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most `PARTS` rows
+    starts = counts.select("cell", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
 
     arc_rows, base, arc_of = [0] * len(nodes), [0] * cells, [0] * cells
     # An arc ends at its node: walk the cells clockwise from the one after the last node.
@@ -88,21 +103,18 @@ def bounded_ring(docs: DataFrame, shards: int, key: Column, id_cols: list[str],
     for step in range(cells):
         cell = (ends[-1] + 1 + step) % cells
         base[cell], arc_of[cell] = arc_rows[arc], arc
-        arc_rows[arc] += counts.get(cell, 0)
+        arc_rows[arc] += sizes.get(cell, 0)
         if cell == ends[arc] and arc + 1 < len(nodes):
             arc += 1
 
-    cell_table = spark.createDataFrame([(c, arc_of[c], base[c]) for c in range(cells)], "_cell int, _arc int, _base long")
-    plan = spark.createDataFrame(fill(arc_rows, nodes, shards), "_arc int, _from long, _to long, shard int, _slot long")
-    order = Window.partitionBy("_cell").orderBy(*[F.col(c).asc_nulls_first() for c in id_cols])
-    ranked = (
-        placed.withColumn("_n", F.row_number().over(order) - 1)
-        .join(F.broadcast(cell_table), "_cell")
-        .withColumn("_rank", F.col("_base") + F.col("_n"))
-    )
-    at = F.broadcast(plan)
-    joined = ranked.join(at, (ranked["_arc"] == at["_arc"]) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    return joined.select(*[ranked[c] for c in docs.columns], F.col("shard"), (F.col("_slot") + F.col("_rank") - F.col("_from")).alias("slot"))
+    cell_table = spark.createDataFrame([(c, arc_of[c], base[c]) for c in range(cells)], "cell int, arc int, base long")
+    plan = spark.createDataFrame(fill(arc_rows, nodes, shards), "arc int, from long, to long, shard int, first long")
+    order = Window.partitionBy("cell", "part").orderBy(*[F.col("row").getField(c).asc_nulls_first() for c in id_cols])
+    ranked = placed.withColumn("n", F.row_number().over(order) - 1).join(starts, ["cell", "part"]).join(F.broadcast(cell_table), "cell")
+    ranked = ranked.withColumn("rank", F.col("base") + F.col("start") + F.col("n")).select("row", "arc", "rank")
+    at = F.broadcast(plan.withColumnRenamed("arc", "to_arc"))
+    joined = ranked.join(at, (F.col("arc") == F.col("to_arc")) & (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("to")))
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], F.col("shard"), (F.col("first") + F.col("rank") - F.col("from")).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
@@ -113,8 +125,8 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
 
     A null text counts as empty.  A row's place on the ring comes from doc_id and the
     text's hash together, so neither one hot text nor one repeated (or null) doc_id
-    puts all its rows into one cell; only rows equal in both share one.  Columns
-    beyond doc_id and text are ignored.
+    puts all its rows into one cell; rows equal in both share one, and are ranked in
+    parts.  Columns beyond doc_id and text are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(

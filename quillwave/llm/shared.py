@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHARED_DIR = "quillwave.shared.dir"  #: setting that names the folder where the other one is absent
 
+SCRATCH = "quillwave.scratch.dir"
+
 LOWEST = -(1 << 63)  #: stands for a null doc_id, so that it comes before all others
 
 
@@ -33,8 +37,23 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_root(spark)}/quillwave-{uuid.uuid4().hex}"
+    """A new path below the shared folder, or below that of the enclosing :func:`scratch`."""
+    return f"{spark.conf.get(SCRATCH, None) or shared_root(spark)}/quillwave-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go when it ends, so what is to stay must be written to a path made before."""
+    path, outer = shared_dir(spark), spark.conf.get(SCRATCH, None)
+    spark.conf.set(SCRATCH, path)
+    try:
+        yield
+    finally:
+        if outer:
+            spark.conf.set(SCRATCH, outer)
+        else:
+            spark.conf.unset(SCRATCH)
+        dropped(spark, path)
 
 
 def persisted(df: DataFrame, path: str | None = None) -> DataFrame:

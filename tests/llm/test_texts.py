@@ -111,6 +111,21 @@ def test_packing(docs, rows):
     assert packing.pack(docs.limit(0), path, size).count() == 0
 
 
+def test_packing_of_other_vocabularies(docs, rows):
+    """A vocabulary whose ids depend on blanks gets whole texts."""
+    path = vocabulary("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    assert not packing.loaded(path).by_words and packing.loaded(vocabulary("word_bpe_49k.json")).by_words
+    some = docs.where("length(text) < 500 or text is null")
+    out = some.select("doc_id", "text")
+    want = Counter()
+    for i, t in out.collect():
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        for a in range(0, len(ids), 64):
+            want[i, a, zlib.crc32(ids[a : a + 64].tobytes())] += 1
+    assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in packing.pack(some, path, 64).collect()) == want
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_packing_plan(seed):
     rnd = random.Random(seed)
@@ -288,6 +303,52 @@ def test_very_long_texts(spark, rows):
     assert {r["lang_pred"] for r in known} == {"xx"}
 
 
+def simulated(cells, shards, vnodes=32, size=1 << 13):
+    """Row by row: (cell, shard) counts of a ring whose full shards pass rows on clockwise."""
+    nodes = {}
+    for n in range(vnodes):
+        for k in range(shards):
+            at = int(hashlib.sha256(f"{k}/{n}".encode()).hexdigest()[:16], 16) % size
+            while at in nodes:
+                at = (at + 1) % size
+            nodes[at] = k
+    ends = sorted(nodes)
+    room = {k: len(cells) // shards + (k < len(cells) % shards) for k in range(shards)}
+    arc = {c: next((i for i, e in enumerate(ends) if e >= c), 0) for c in set(cells)}
+    last = ends[-1]
+    out, late = Counter(), []
+    for c in sorted(cells, key=lambda c: (arc[c], (c - last - 1) % size)):  # clockwise from behind the last node
+        k = nodes[ends[arc[c]]]
+        if room[k]:
+            room[k] -= 1
+            out[c, k] += 1
+        else:
+            late.append(c)
+    for c in late:
+        i = arc[c]
+        while not room[nodes[ends[i]]]:
+            i = (i + 1) % len(ends)
+        room[nodes[ends[i]]] -= 1
+        out[c, nodes[ends[i]]] += 1
+    return out
+
+
+@pytest.mark.parametrize("shards", [8, 3])
+def test_ring(spark, monkeypatch, shards):
+    """Against a ring walked row by row, with a third of all rows alike and more than a part holds."""
+    monkeypatch.setattr(sharding, "PART_ROWS", 50)
+    rows = [(None, "", "clash", 1)] * 700 + [(i, f"t{i % 90}", "clash", 1) for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string, `a.b` int").repartition(5)
+    key = F.struct("doc_id", "text")
+    out = sharding.bounded_ring(docs, shards, key, ["doc_id", "text"])
+    assert out.columns == ["doc_id", "text", "a.b", "shard", "slot"]
+    got = out.withColumn("cell", F.pmod(F.xxhash64(key), F.lit(1 << 13))).select("cell", "shard", "slot").collect()
+    assert Counter((r["cell"], r["shard"]) for r in got) == simulated([r["cell"] for r in got], shards)
+    for k in range(shards):
+        slots = sorted(r["slot"] for r in got if r["shard"] == k)
+        assert slots == list(range(len(slots)))
+
+
 def test_sharding(spark, docs, rows):
     out = sharding.shard_documents(docs).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
