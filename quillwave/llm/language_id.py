@@ -18,7 +18,7 @@ from .shared import quoted
 SIZES = (2, 3, 4)  #: bytes of a subword
 BUCKETS = 1 << 15
 DIMENSIONS = 16
-CHUNK = 1 << 20  #: bytes whose subwords are looked up at once
+CHUNK = 1 << 18  #: bytes whose subwords are looked up at once
 SAMPLE_PER_LANGUAGE = 800  #: training documents of a language at most
 SAMPLE = 16_000  #: training documents of all languages at most
 LANGUAGES = 400  #: languages that are learned at most, the most frequent ones
@@ -173,10 +173,10 @@ def training_sample(docs: DataFrame) -> DataFrame:
 
     A first pass estimates how many different documents each language has.  The
     ``LANGUAGES`` most frequent ones get ``SAMPLE_PER_LANGUAGE`` documents each, or an equal
-    part of ``SAMPLE`` if that is less.  Documents whose hash falls into the share that
-    holds three times as many are made bags of, whole texts of any length, in their scan
-    tasks, and only bags are shuffled and ranked.  So neither the shuffle nor the sample
-    grows with the table, repeated rows count once, and no length is left out.
+    part of ``SAMPLE`` if that is less.  Only documents whose hash falls into the share that
+    holds three times as many are shuffled and ranked, and whole texts of any length are
+    made bags of, whose size is bounded.  So neither shuffle nor sample grows with the
+    number of rows, repeated rows count once, and no length is left out.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
     draw = labelled.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.col("doc_id"), "text", F.lit("draw")).alias("h"))
@@ -184,7 +184,10 @@ def training_sample(docs: DataFrame) -> DataFrame:
     each = min(SAMPLE_PER_LANGUAGE, SAMPLE // max(1, len(sizes)))
     shares = [(r["lang"], int(min(1.0, 3 * each / max(1, r["n"])) * (1 << 32))) for r in sizes]
     limits = docs.sparkSession.createDataFrame(shares, "lang string, below long")
-    within = draw.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below")).select("lang", "h", "text")
+    within = draw.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below"))
+    once = within.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("h")
+    drawn = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("lang", "h", "text")
 
     def run(batches):
         for batch in batches:
@@ -193,10 +196,7 @@ def training_sample(docs: DataFrame) -> DataFrame:
             columns = [pa.array([x[i] for x in bags], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), *columns], ["lang", "h", "ids", "n"])
 
-    bags = within.mapInArrow(run, "lang string, h long, ids array<int>, n array<int>")
-    once = bags.groupBy("lang", "h").agg(F.min(F.struct("ids", "n")).alias("bag"))
-    order = Window.partitionBy("lang").orderBy("h")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("lang", "h", "bag.ids", "bag.n")
+    return drawn.mapInArrow(run, "lang string, h long, ids array<int>, n array<int>")
 
 
 def trained(docs: DataFrame) -> LanguageModel:
