@@ -55,13 +55,17 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows linked by their word 5-grams, directly or through others, the one with the smallest id.
 
-    Rows are judged one by one, under numbers that they get in a written copy: of repeated
-    rows one stays, rows that share an id (null, too, which is the lowest) are told apart,
-    and of equal ids the row written first stays.  Rows without a word (null, empty) are
-    linked with nothing and all stay.
+    Rows are judged one by one, by their ids where each row has its own, else under numbers
+    that they get in a written copy: of repeated rows one stays, rows that share an id
+    (null, too, which is the lowest) are told apart, and of equal ids the row written first
+    stays.  Rows without a word (null, empty) are linked with nothing and all stay.
     """
-    row = F.struct(*[quoted(c).alias(c) for c in docs.columns])
-    numbered = persisted(docs.select(F.monotonically_increasing_id().alias("n"), row.alias("row")))
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("d")).count()
+    shared_ids = bool(ids.where("count > 1 or d is null").head(1))
+    number = F.monotonically_increasing_id() if shared_ids else F.col("doc_id").cast("long")
+    numbered = docs.select(number.alias("n"), F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"))
+    if shared_ids:
+        numbered = persisted(numbered)
     groups = ngram_join(numbered.select(F.col("n").alias("doc_id"), "row.text"), size=5, percent=80).select(F.col("doc_id").alias("n"), "component_id")
     ids = numbered.select("n", F.col("row.doc_id").cast("long").alias("d"))
     first = ids.join(groups, "n").groupBy("component_id").agg(F.min(F.struct("d", "n")).alias("first")).select("first.n")
