@@ -35,6 +35,12 @@ def with_suffix(path: Column | str, new: str) -> Column:
     return F.concat(F.when(col(path).contains("/"), F.concat(folder, F.lit("/"))).otherwise(""), stem(path), F.lit(new))
 
 
+def absolute(path: Column | str, root: str) -> Column:
+    """The path itself if it begins with a slash or a scheme, else below ``root``."""
+    whole = col(path).startswith("/") | col(path).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:/")
+    return F.when(whole, col(path)).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), col(path)))
+
+
 def relative(path: Column | str, root: str) -> Column:
     """The path below ``root``; paths elsewhere stay as they are."""
     base = root.rstrip("/") + "/"

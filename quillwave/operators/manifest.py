@@ -26,15 +26,16 @@ def parse(lines: DataFrame) -> DataFrame:
 def resolve(rows: DataFrame, files: DataFrame, ext: str = ".wav", root: str = "wavs") -> DataFrame:
     """``rows`` with ``audio``: the path of name + ``ext``, else of name, below ``root``; status `missing` where neither is in ``files`` (path).
 
-    Names are joined, not looked up on a file system; an empty name is missing.  Both
-    candidates go through one join: Spark broadcasts the listing if it is small.
+    Names are joined, not looked up on a file system; an empty or null name is missing.
+    Each row asks for its own two paths, so line numbers need not be unique and rows of
+    several manifests can be resolved together.  Spark broadcasts the listing if it is small.
     """
     ext = ext if ext.startswith(".") else f".{ext}"
-    there = files.select(F.col("path").alias("hit")).distinct()
-    want = rows.withColumn("try", F.when((F.col("status") == "ok") & (F.col("name") != ""), F.array(F.concat(F.lit(f"{root}/"), "name", F.lit(ext)), F.concat(F.lit(f"{root}/"), "name"))))
-    tried = want.select("line_no", F.posexplode("try").alias("nth", "hit")).join(there, "hit")
-    found = tried.groupBy("line_no").agg(F.min_by("hit", "nth").alias("audio"))
-    out = want.drop("try").join(found, "line_no", "left")
+    there = files.select("path").where("path is not null").distinct()
+    asked = F.when((F.col("status") == "ok") & (F.col("name") != ""), F.concat(F.lit(f"{root}/"), "name"))
+    want = rows.withColumns({"_bare": asked, "_full": F.concat(asked, F.lit(ext))})
+    first, second = there.select(F.col("path").alias("_full"), F.col("path").alias("_a")), there.select(F.col("path").alias("_bare"), F.col("path").alias("_b"))
+    out = want.join(first, "_full", "left").join(second, "_bare", "left").select(*rows.columns, F.coalesce("_a", "_b").alias("audio"))
     return out.withColumn("status", F.when((F.col("status") == "ok") & F.col("audio").isNull(), "missing").otherwise(F.col("status")))
 
 
@@ -47,21 +48,39 @@ def _draw(seed: int, purpose: str, key: Column) -> Column:
     return F.md5(F.concat_ws("/", F.lit(f"{seed}/{purpose}"), key.cast("string")))
 
 
+CELL_LINES = 1 << 16  #: line numbers of a folder whose rows are ranked together
+
+
+def _ranked(rows: DataFrame, name: str, cell: Column, order: list[Column]) -> DataFrame:
+    """``rows`` with their rank from 1 in ``order`` within dir, ``cell`` being a coarser form of that order.
+
+    Rows are ranked within cells, and running totals of the cells' counts added.
+    """
+    celled = rows.withColumn("_cell", cell)
+    before = Window.partitionBy("dir").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # one row a cell
+    starts = celled.groupBy("dir", "_cell").count().select("dir", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    inner = Window.partitionBy("dir", "_cell").orderBy(*order)
+    return celled.withColumn(name, F.row_number().over(inner)).join(starts, ["dir", "_cell"]).withColumn(name, F.col(name) + F.col("_start")).drop("_cell", "_start")
+
+
 def references(samples: DataFrame, ratio: float = 0.4, allow_self: bool = False, seed: int = 0) -> DataFrame:
     """``samples`` (line_no, audio, ...) with dir, pos (from 0 in the folder) and ref_audio.
 
     In each folder round-half-even(n * ratio) samples, drawn by a hash, get another
     sample of the folder as a reference: a uniform partner at another place, or any
     place with ``allow_self`` or where there is but one.  The draw depends on seed and
-    line number alone, so it is the same on any cluster.
+    line number alone, so it is the same on any cluster.  A folder's rows are ranked in
+    ranges of line numbers and of draws, so one that holds most rows is ranked by many tasks.
     """
     if not 0 <= ratio <= 1:
         raise ValueError("ratio lies between 0 and 1")
     base = samples.withColumn("dir", parent("audio"))
-    order = Window.partitionBy("dir").orderBy("line_no")
-    whole = Window.partitionBy("dir")
-    draw = Window.partitionBy("dir").orderBy(_draw(seed, "pick", F.col("line_no")), "line_no")
-    placed = base.withColumns({"pos": (F.row_number().over(order) - 1).cast("long"), "size": F.count("*").over(whole), "turn": F.row_number().over(draw)})
+    placed = _ranked(base, "pos", F.floor(F.col("line_no") / CELL_LINES), [F.col("line_no")])
+    placed = placed.withColumn("pos", (F.col("pos") - 1).cast("long"))
+    draw = _draw(seed, "pick", F.col("line_no"))
+    placed = _ranked(placed, "turn", F.substring(draw, 1, 3), [draw, F.col("line_no")])
+    sizes = base.groupBy("dir").agg(F.count("*").alias("size"))
+    placed = placed.join(sizes, "dir")
     h = F.conv(F.substring(_draw(seed, "partner", F.col("line_no")), 1, 12), 16, 10).cast("long")
     anyone = F.lit(allow_self) | (F.col("size") == 1)
     partner = F.when(anyone, h % F.col("size")).otherwise((F.col("pos") + 1 + h % F.greatest(F.col("size") - 1, F.lit(1))) % F.col("size"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,8 +30,10 @@ def rename_plan(requests: DataFrame, listing: DataFrame) -> DataFrame:
     Names freed by an earlier rename are free again, so requests of one folder depend on
     each other in order: the one step that no set operation can express, done over sorted
     runs of names alone.  Only names in reach of a request (same cleaned stem, or
-    cleaned stem and counter) take part.  status: `renamed` or `unchanged`.
+    cleaned stem and counter) take part.  status: `renamed` or `unchanged`.  Rows without
+    a path are ignored.
     """
+    requests, listing = requests.where("path is not null"), listing.where("path is not null")
     first = Window.partitionBy("path").orderBy("pos")
     asked = cleaned(requests.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth"))
     asked = asked.join(requests.groupBy("path").agg(F.min("pos").alias("pos")), "path")
@@ -48,15 +52,33 @@ def _plans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, taken, asked = None, set(), []
 
     def flush() -> Iterator[tuple]:
+        untried: dict[tuple[str, str], int] = {}  # the first counter of a target that was never tried
+        freed: dict[tuple[str, str], list[int]] = {}  # counters below it whose names were given up
+
+        def numbered(target: str) -> str:
+            base = os.path.splitext(target)
+            free = freed.get(base, [])
+            while free:
+                name = f"{base[0]}_{heapq.heappop(free)}{base[1]}"
+                if name not in taken:
+                    return name
+            n = untried.get(base, 1)
+            while f"{base[0]}_{n}{base[1]}" in taken:
+                n += 1
+            untried[base] = n + 1
+            return f"{base[0]}_{n}{base[1]}"
+
         for folder, old, target in asked:
-            new, n = target, 0
+            new = target
             if target != old:
-                base, ending = os.path.splitext(target)
-                while new in taken:
-                    n += 1
-                    new = f"{base}_{n}{ending}"
+                new = numbered(target) if target in taken else target
                 taken.discard(old)
                 taken.add(new)
+                counted = re.fullmatch(r"(.+)_([1-9][0-9]*)", os.path.splitext(old)[0], re.S)
+                if counted:
+                    base, n = (counted[1], os.path.splitext(old)[1]), int(counted[2])
+                    if n < untried.get(base, 1):
+                        heapq.heappush(freed.setdefault(base, []), n)
             yield folder, old, new, target, "unchanged" if target == old else "renamed"
 
     def emitted(rows: list[tuple]) -> pa.RecordBatch:

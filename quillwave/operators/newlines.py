@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -14,23 +16,107 @@ from ..functions.text import breaks, tidy_breaks
 
 _WORDS = re.compile(r"\s|\S+")
 SCRIPT = T.ArrayType(T.StructType([T.StructField("op", T.IntegerType()), T.StructField("text", T.StringType())]))
+Edit = tuple[int, str]
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of pairs, which ascend in the first number, that ascends in the second, too."""
+    ends: list[int] = []
+    last: list[int] = []
+    before = [-1] * len(pairs)
+    for i, (_, y) in enumerate(pairs):
+        k = bisect_left(ends, y)
+        before[i] = last[k - 1] if k else -1
+        ends[k : k + 1], last[k : k + 1] = [y], [i]
+    out, i = [], last[-1] if last else -1
+    while i >= 0:
+        out.append(pairs[i])
+        i = before[i]
+    return out[::-1]
+
+
+def _hunks(a: list[str] | str, b: list[str] | str) -> list[tuple[int, int, int, int]]:
+    """Ranges of a and b that differ, between ranges that are equal.
+
+    Both are parted at what occurs once in each, in a common order; only what lies between
+    two such anchors, and holds none, is compared in full.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        while i < j and k < m and a[i] == b[k]:
+            i, k = i + 1, k + 1
+        while i < j and k < m and a[j - 1] == b[m - 1]:
+            j, m = j - 1, m - 1
+        if i == j or k == m:
+            if i < j or k < m:
+                out.append((i, j, k, m))
+            continue
+        here, there = Counter(a[i:j]), Counter(b[k:m])
+        place = {x: n for n, x in enumerate(b[k:m], k) if there[x] == 1}
+        anchors = _rising([(n, place[x]) for n, x in enumerate(a[i:j], i) if here[x] == 1 and x in place])
+        if anchors:
+            edges = [(i - 1, k - 1), *anchors, (j, m)]
+            todo += [(x + 1, u, y + 1, v) for (x, y), (u, v) in zip(edges, edges[1:])]
+        else:
+            found = SequenceMatcher(None, a[i:j], b[k:m], autojunk=False).get_opcodes()
+            out += [(i + p, i + q, k + r, k + s) for tag, p, q, r, s in found if tag != "equal"]
+    return sorted(out)
+
+
+def _edits(a: list[str] | str, b: list[str] | str) -> list[tuple[str, list | str, list | str]]:
+    """(kind, part of a, part of b) in order; the kinds are equal and replace."""
+    out, i, k = [], 0, 0
+    for p, q, r, s in [*_hunks(a, b), (len(a), len(a), len(b), len(b))]:
+        if i < p:
+            out.append(("equal", a[i:p], b[k:r]))
+        if p < q or r < s:
+            out.append(("replace", a[p:q], b[r:s]))
+        i, k = q, s
+    return out
+
+
+def coarse(script: list[Edit]) -> list[Edit]:
+    """The script without equal pieces that are no longer than the edits on both sides of them: those are coincidence.
+
+    Such a piece becomes deleted and inserted text.  Each run of edits comes out as what is
+    deleted, then what is inserted.
+    """
+    runs: list[list[str]] = [["", "", ""]]  # deleted, inserted, the equal text after them
+    for op, text in script:
+        if op == 0:
+            runs[-1][2] += text
+        else:
+            if runs[-1][2]:
+                runs.append(["", "", ""])
+            runs[-1][0 if op < 0 else 1] += text
+    done: list[list[str]] = []
+    for run in runs:
+        done.append(run)
+        while len(done) > 1 and done[-2][2] and (done[-2][0] or done[-2][1]):
+            (gone, new, kept), (gone2, new2, rest) = done[-2:]
+            if len(kept) > min(max(len(gone), len(new)), max(len(gone2), len(new2))):
+                break
+            done[-2:] = [[gone + kept + gone2, new + kept + new2, rest]]
+    return [(op, text) for gone, new, kept in done for op, text in ((-1, gone), (1, new), (0, kept)) if text]
 
 
 @F.pandas_udf(SCRIPT)
 def edit_script(original: pd.Series, transcribed: pd.Series) -> pd.Series:
     """Character edits that turn the original into the transcript: 0 equal, -1 only in the original, 1 only in the transcript."""
 
-    def edits(a: list[str] | str, b: list[str] | str) -> list[tuple[str, list | str, list | str]]:
-        return [(tag, a[i:j], b[k:m]) for tag, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes()]
-
-    def one(a: str, b: str) -> list[tuple[int, str]]:
+    def one(a: str, b: str) -> list[Edit]:
         """Words first, then characters where words differ, so that long texts stay cheap."""
-        out: list[tuple[int, str]] = []
-        for tag, x, y in edits(_WORDS.findall(a), _WORDS.findall(b)):
-            x, y = "".join(x), "".join(y)
-            for kind, u, v in [(tag, x, y)] if tag != "replace" else edits(x, y):
-                out += [(0, u)] if kind == "equal" else [(op, t) for op, t in ((-1, u), (1, v)) if t]
-        return out
+        out: list[Edit] = []
+        for kind, x, y in _edits(_WORDS.findall(a), _WORDS.findall(b)):
+            u, v = "".join(x), "".join(y)
+            if kind == "equal":
+                out.append((0, u))
+                continue
+            for inner, p, q in _edits(u, v):
+                out += [(0, p)] if inner == "equal" else [(op, t) for op, t in ((-1, p), (1, q)) if t]
+        return coarse(out)
 
     return pd.Series([None if a is None or b is None else [{"op": o, "text": t} for o, t in one(a, b)] for a, b in zip(original, transcribed, strict=True)])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,14 +25,16 @@ def silences(frames: DataFrame, threshold: Column | str, min_len: int = 500, ste
     ``frames``: (file, ms long from 0 without gaps, ss double, n long); the threshold is
     a mean square, a column of ``frames`` or a literal.  Windows start every ``step``
     frames and the last possible one is always tried.  Sums are differences of one
-    running sum, so the cost doesn't depend on the window's length.
+    running sum, so the cost doesn't depend on the window's length; it is kept in decimals
+    of six places, so that long and loud recordings lose nothing.
     """
+    frames = frames.withColumn("ss", F.col("ss").cast("decimal(28,6)"))
     order = Window.partitionBy("file").orderBy("ms")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = frames.withColumns({"cs": F.sum("ss").over(upto), "cn": F.sum("n").over(upto), "limit": col(threshold)})
     ends = sums.withColumns({"es": F.lead("cs", min_len - 1).over(order), "en": F.lead("cn", min_len - 1).over(order), "more": F.lead("ms", min_len).over(order)})
     quiet = ends.where(F.col("es").isNotNull() & ((F.col("ms") % step == 0) | F.col("more").isNull()))
-    quiet = quiet.where((F.col("es") - F.col("cs") + F.col("ss")) <= F.col("limit") * (F.col("en") - F.col("cn") + F.col("n")))
+    quiet = quiet.where((F.col("es") - F.col("cs") + F.col("ss")).cast("double") <= F.col("limit") * (F.col("en") - F.col("cn") + F.col("n")))
     gap = F.col("ms") - F.lag("ms").over(order)
     # Windows that overlap or touch are one silence.
     marked = quiet.withColumn("new", F.when(gap.isNull() | (gap > max(min_len, step)), 1).otherwise(0))
@@ -50,6 +54,8 @@ def split(files: DataFrame, silences: DataFrame, min_len: int = 3000, max_len: i
     """
     if min_len < 1:
         raise ValueError("min_len is at least 1")
+    if 2 * min_len > max_len:
+        warnings.warn(f"segments between {max_len} and {2 * min_len} ms can't be cut without one under {min_len} ms", stacklevel=2)
     rank = F.sort_array(F.collect_list(F.struct((F.col("s") - F.col("e")).cast("long").alias("k"), F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))))
     # Silences that no cut can use are gone before they are gathered.
     usable = silences.where((F.col("s") + F.col("e")) >= 2 * min_len).groupBy("file").agg(rank.alias("sil"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,8 +29,41 @@ def stub(model: str) -> Recognise:
     return lambda content, language: f"{len(content)} bytes"
 
 
-@backend("whisper")
-def whisper(model: str) -> Recognise:
+@backend("openai-whisper")
+def openai_whisper(model: str) -> Recognise:
+    import tempfile
+
+    import whisper  # optional
+
+    loaded = whisper.load_model(model)
+
+    def recognise(content: bytes, language: str | None) -> str:
+        with tempfile.NamedTemporaryFile(suffix=".wav") as f:  # the library reads files; it goes with the clip
+            f.write(content)
+            f.flush()
+            return loaded.transcribe(f.name, language=language)["text"].strip()
+
+    return recognise
+
+
+CHUNK_SECONDS, BATCH = 30, 16  #: how a long clip is cut for the next one, and how many parts it takes at once
+
+
+@backend("transformers")
+def transformers(model: str) -> Recognise:
+    from transformers import pipeline  # optional
+
+    loaded = pipeline("automatic-speech-recognition", model=model, chunk_length_s=CHUNK_SECONDS, batch_size=BATCH)
+
+    def recognise(content: bytes, language: str | None) -> str:
+        said = {"language": language, "task": "transcribe"} if language else {"task": "transcribe"}
+        return loaded(content, generate_kwargs=said)["text"].strip()
+
+    return recognise
+
+
+@backend("faster-whisper")
+def faster_whisper(model: str) -> Recognise:
     import io
 
     from faster_whisper import WhisperModel  # optional
@@ -44,13 +78,24 @@ def whisper(model: str) -> Recognise:
 
 
 def detect_backend(path: Column | str, listing_names: Column | str) -> Column:
-    """The kind of a model from the names in its folder (null: not a folder): a file or plain name is `openai`."""
+    """The backend of a model from the names in its folder (null: not a folder, so a file or an official name)."""
     names = F.col(listing_names) if isinstance(listing_names, str) else listing_names
-    return F.when(names.isNull(), "openai").when(F.array_contains(names, "model.bin"), "faster").otherwise("transformers")
+    return F.when(names.isNull(), "openai-whisper").when(F.array_contains(names, "model.bin"), "faster-whisper").otherwise("transformers")
+
+
+def backend_of(model: str) -> str:
+    """The same for a model's name or a local path, looked up where this runs."""
+    if not os.path.isdir(model):
+        return "openai-whisper"
+    return "faster-whisper" if "model.bin" in os.listdir(model) else "transformers"
 
 
 def transcribe(clips: DataFrame, model: str, kind: str = "stub", language: str | None = None) -> DataFrame:
-    """(file, idx, text, error) from (file, idx, content): clips meet their text by key, and one bad clip fails alone."""
+    """(file, idx, text, error) from (file, idx, content): clips meet their text by key, and one bad clip fails alone.
+
+    ``kind``: a name in ``BACKENDS``, or `auto` for the one that ``backend_of`` the model gives.
+    """
+    kind = backend_of(model) if kind == "auto" else kind
     if kind not in BACKENDS:
         raise ValueError(f"unknown backend {kind!r}")
     load = BACKENDS[kind]

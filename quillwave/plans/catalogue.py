@@ -200,12 +200,12 @@ def preview_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.preview(rows).join(texts.clip_names(rows).select("file", "idx", "name"), ["file", "idx"])
 
 
-def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.resolve(manifest.parse(inputs.manifest_lines(spark, sf_dir)), inputs.audio_files(spark, sf_dir))
+def _resolved(spark: SparkSession, sf_dir: str, one_folder: bool = False) -> DataFrame:
+    return manifest.resolve(manifest.parse(inputs.manifest_lines(spark, sf_dir, one_folder)), inputs.audio_files(spark, sf_dir, one_folder))
 
 
-def _referred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.references(_resolved(spark, sf_dir).where("status = 'ok'").drop("status", "name"), ratio=0.4, seed=7)
+def _referred(spark: SparkSession, sf_dir: str, one_folder: bool = False) -> DataFrame:
+    return manifest.references(_resolved(spark, sf_dir, one_folder).where("status = 'ok'").drop("status", "name"), ratio=0.4, seed=7)
 
 
 @query(f"WITH {_MANIFEST} SELECT line_no, name, text, normalized, status, audio FROM resolved")
@@ -223,6 +223,15 @@ def manifest_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _referred(spark, sf_dir)
 
 
+_ONE_FOLDER = _MANIFEST.replace("'src' || doc_id % 7 || '/clip'", "'clip'").replace("'wavs/src' || doc_id % 7 || '/clip'", "'wavs/clip'")
+
+
+@query(f"WITH {_ONE_FOLDER} SELECT line_no, audio, dir, pos, ref_audio FROM referred")
+def manifest_one_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References where all clips lie in one folder."""
+    return _referred(spark, sf_dir, one_folder=True).select("line_no", "audio", "dir", "pos", "ref_audio")
+
+
 @query(
     f"""WITH {_MANIFEST} SELECT count(*) AS total, count(DISTINCT dir) AS folders, count(ref_audio) AS refs, CASE WHEN count(*) > 0 THEN 100.0::DOUBLE * count(ref_audio) / count(*) ELSE 0 END AS actual_pct,
     40.0::DOUBLE AS target_pct FROM referred"""

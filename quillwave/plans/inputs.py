@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -48,9 +48,15 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clip_name(one_folder: bool) -> Column:
+    """A document's clip: in one of seven folders, or all in one, as most data sets have it."""
+    folder = F.lit("clip") if one_folder else F.concat(F.lit("src"), (F.col("doc_id") % 7).cast("string"), F.lit("/clip"))
+    return F.concat(folder, F.col("doc_id").cast("string"))
+
+
+def manifest_lines(spark: SparkSession, sf_dir: str, one_folder: bool = False) -> DataFrame:
     """(line_no, value): documents as manifest lines of none to four fields, some empty."""
-    name = F.concat(F.lit("src"), (F.col("doc_id") % 7).cast("string"), F.lit("/clip"), F.col("doc_id").cast("string"))
+    name = clip_name(one_folder)
     name = F.when(F.col("doc_id") % 5 == 0, F.concat(name, F.lit(".wav"))).otherwise(name)
     text = F.regexp_replace("text", "[\n\r|]", " ")
     kind = F.col("doc_id") % 11
@@ -65,12 +71,9 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("line_no"), value.alias("value"))
 
 
-def audio_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audio_files(spark: SparkSession, sf_dir: str, one_folder: bool = False) -> DataFrame:
     """(path): the clips there are, those of nine documents in ten."""
-    d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").where(d % 10 != 9).select(
-        F.concat(F.lit("wavs/src"), (d % 7).cast("string"), F.lit("/clip"), d.cast("string"), F.lit(".wav")).alias("path")
-    )
+    return table(spark, sf_dir, "documents").where(F.col("doc_id") % 10 != 9).select(F.concat(F.lit("wavs/"), clip_name(one_folder), F.lit(".wav")).alias("path"))
 
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,23 +60,31 @@ def durations(frames: DataFrame) -> DataFrame:
     return frames.where("error is null").groupBy("file").agg((F.max("ms") + 1).alias("total"))
 
 
-def cut_clips(files: DataFrame, spans: DataFrame) -> DataFrame:
-    """(file, idx, content): a WAV file for each span (file, idx, start, end, pad_lead, pad_tail in ms) of each recording."""
+def cut_clips(files: DataFrame, spans: DataFrame, bits: int | None = None) -> DataFrame:
+    """(file, idx, content): a WAV file for each span (file, idx, start, end, pad_lead, pad_tail in ms) of each recording.
+
+    ``bits``: 16, 24 or 32 for samples of that width, whatever the recording's; None keeps its own.
+    """
+    if bits not in (None, 16, 24, 32):
+        raise ValueError("bits is 16, 24 or 32")
     listed = spans.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("idx", "start", "end", "pad_lead", "pad_tail"))).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 x, params = samples(row["content"])
+                width = bits // 8 if bits else params.sampwidth
+                up = 8 * (width - params.sampwidth)
+                x = x << up if up >= 0 else x >> -up
                 out = []
                 for s in row["spans"]:
                     a, b, lead, tail = (s[k] * params.framerate // 1000 for k in ("start", "end", "pad_lead", "pad_tail"))
                     clip = np.pad(x[a:b], ((lead, tail), (0, 0)))
-                    data = clip.astype("<i8").view(np.uint8).reshape(-1, 8)[:, : params.sampwidth] if params.sampwidth > 1 else (clip + 128).astype(np.uint8)
+                    data = clip.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width] if width > 1 else (clip + 128).astype(np.uint8)
                     target = io.BytesIO()
                     with wave.open(target, "wb") as f:
                         f.setnchannels(params.nchannels)
-                        f.setsampwidth(params.sampwidth)
+                        f.setsampwidth(width)
                         f.setframerate(params.framerate)
                         f.writeframes(data.tobytes())
                     out.append((row["file"], s["idx"], target.getvalue()))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import warnings
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,14 +20,52 @@ def listing(spark: SparkSession, root: str, pattern: str | None = None, recursiv
     return reader.load(root).select("path", "length")
 
 
-def expand(spark: SparkSession, patterns: list[str], distinct: bool = True) -> DataFrame:
-    """(path, pos): the files of each glob in turn, sorted within it; with ``distinct`` a path keeps its first place."""
-    found = None
+def _pattern(glob: str) -> str:
+    """A glob with ``**`` as a regular expression for whole paths."""
+    out = ""
+    for part in re.findall(r"\*\*/|\*\*|\*|\?|\[[^\]]*\]|.", glob, re.S):
+        if part[0] == "[" and len(part) > 2:
+            out += "[" + part[1:-1].replace("\\", r"\\").replace("!", "^", part[1] == "!") + "]"
+        else:
+            out += {"**/": "(?:[^/]+/)*", "**": ".*", "*": "[^/]*", "?": "[^/]"}.get(part) or re.escape(part)
+    if glob.startswith("/"):
+        return f"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:/*)?/*{out.lstrip('/')}$"
+    return f"^{out}$" if ":/" in glob else f"^(?:.*/)?{out}$"
+
+
+def _matches(spark: SparkSession, glob: str) -> DataFrame | None:
+    """(path) of the files that a glob or path names; None if there are none."""
+    fixed, deep, _ = glob.partition("**")
+    reader = spark.read.format("binaryFile")
+    try:
+        if not deep:
+            found = reader.load(glob).select("path")
+        else:
+            base = fixed.rpartition("/")[0] or ("/" if fixed.startswith("/") else ".")
+            found = reader.option("recursiveFileLookup", "true").load(base).select("path").where(F.col("path").rlike(_pattern(glob)))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found if found.head(1) else None
+
+
+def expand(spark: SparkSession, patterns: list[str], distinct: bool = True, literal: bool = False) -> DataFrame:
+    """(path, pos): the files of each glob in turn, sorted within it; with ``distinct`` a path keeps its first place.
+
+    ``**`` stands for any folders.  A pattern without a file gives a warning and nothing,
+    or, with ``literal``, itself as a path.  Names that begin with a dot or an underscore
+    are hidden, as for all file sources.
+    """
+    found = spark.createDataFrame([], "path string, nth int")
     for i, p in enumerate(patterns):
-        one = spark.read.format("binaryFile").load(p).select("path", F.lit(i).alias("nth"))
-        found = one if found is None else found.unionByName(one)
-    if found is None:
-        return spark.createDataFrame([], "path string, pos long")
+        one = _matches(spark, p)
+        if one is None and literal:
+            one = spark.createDataFrame([(p,)], "path string")
+        if one is None:
+            warnings.warn(f"no file matches {p}", stacklevel=2)
+        else:
+            found = found.unionByName(one.select("path", F.lit(i).alias("nth")))
     if distinct:
         found = found.groupBy("path").agg(F.min("nth").alias("nth"))
     order = Window.partitionBy("nth").orderBy("path")  # a pattern's own files

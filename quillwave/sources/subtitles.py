@@ -43,19 +43,21 @@ def ass_cues(texts: DataFrame) -> DataFrame:
     """Cues of styled subtitles, by start and then file order.
 
     The columns of `Dialogue:` lines are those of the last `Format:` line of the events
-    section before them; the text, as many commas as it holds, is cut off at its column.
+    section before them, without one the format's usual ones; the text, as many commas as
+    it holds, is cut off at its column.  Any line that begins with a bracket ends a section.
     Lines outside that section, comments, short lines and lines without valid times give
     no cue.
     """
     lines = numbered_lines(texts).withColumn("value", strip("value"))
     order = Window.partitionBy("file").orderBy("line_no")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    section = F.last_value(F.when(F.col("value").startswith("[") & F.col("value").endswith("]"), F.lower("value")), F.lit(True)).over(upto)
+    section = F.last_value(F.when(F.col("value").startswith("["), F.lower("value")), F.lit(True)).over(upto)
     inside = lines.withColumn("section", section).where(F.col("section") == "[events]")
     names = F.transform(F.split(F.regexp_extract("value", r"(?i)^format:(.*)$", 1), ","), lambda x: F.lower(F.trim(x)))
     formatted = inside.withColumn("names", F.last_value(F.when(F.lower("value").startswith("format:"), names), F.lit(True)).over(upto))
-    spoken = formatted.where(F.lower("value").startswith("dialogue:") & F.col("names").isNotNull())
-    place = {c: F.array_position("names", c).cast("int") for c in ("start", "end", "text")}
+    spoken = formatted.where(F.lower("value").startswith("dialogue:"))
+    usual = {"start": 2, "end": 3, "text": 10}  # fixed values: layer, start, end, style, name, three margins, effect, text
+    place = {c: F.coalesce(F.array_position("names", c).cast("int"), F.when(F.col("names").isNull(), n)) for c, n in usual.items()}
     spoken = spoken.select("file", "line_no", *[place[c].alias(f"{c}_at") for c in place], F.regexp_extract("value", r"(?i)^dialogue:(.*)$", 1).alias("v"))
     spoken = spoken.where("start_at > 0 and end_at > 0 and text_at > 0").withColumn("f", F.split("v", ","))
     spoken = spoken.where(F.size("f") >= F.col("text_at"))

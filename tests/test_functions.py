@@ -68,3 +68,6 @@ def test_small_texts(spark):
     assert values(spark, ["", "a ", "a(", "a"], text.breaks("x")) == [(True,), (True,), (True,), (False,)]
     halves = [(n + 0.5) for n in range(9)]
     assert [r[0] for r in values(spark, map(str, halves), text.half_even(F.col("x").cast("double")))] == [round(h) for h in halves]
+    assert values(spark, ["/a/b", "c/d", "s3://x/y"], paths.absolute("x", "/r/"), paths.relative("x", "/a")) == [("/a/b", "b"), ("/r/c/d", "c/d"), ("s3://x/y", "s3://x/y")]
+    assert values(spark, ["1.5", "0.0005", "3661.9996"], times.clock_of_seconds(F.col("x").cast("double"))) == [("00:00:01,500",), ("00:00:00,000",), ("01:01:02,000",)]
+    assert values(spark, [None], text.strip("x"), text.clean_name("x")) == [(None, None)]

@@ -3,6 +3,7 @@
 import io
 import math
 import random
+import re
 import struct
 import wave
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillwave.operators import cues, manifest, naming, newlines, silence, transcribe
+from quillwave.sinks import files as file_sinks
 from quillwave.sinks import texts
 from quillwave.sources import audio, listing, subtitles
 from quillwave.streaming.manifests import manifest_stream
@@ -149,6 +151,161 @@ def test_rename_plan(spark):
     assert plan == want
 
 
+def walked(names):
+    """The plan of renaming files one after the other."""
+    taken, out = set(names), {}
+    for n in names:
+        base, ending = (n[:-4], n[-4:])
+        clean = re.sub("[ ']+", "_", base).strip("_") or "_"
+        new, k = clean + ending, 0
+        while new != n and new in taken:
+            k += 1
+            new = f"{clean}_{k}{ending}"
+        taken -= {n}
+        taken |= {new}
+        out[n] = new
+    return out
+
+
+def test_rename_plan_of_many(spark):
+    """Crowded names, counters freed and taken again, against a walk through the folder; 20,000 names of one stem stay quick."""
+    rnd = random.Random(3)
+    names = list(dict.fromkeys("".join(rnd.choice("ab '_1") for _ in range(rnd.randrange(1, 6))) + ".txt" for _ in range(900)))
+    names = [n for n in names if n[:-4].strip("_ '") and not n.startswith("_")]
+    names += ["a_2.txt", "a 7.txt", "a_7_1.txt", "b_1_1.txt"]
+    names = list(dict.fromkeys(names))
+    df = spark.createDataFrame([(f"x/{n}", i) for i, n in enumerate(names)] + [(None, 1)], "path string, pos long")
+    plan = {r["old"]: r["new"] for r in naming.rename_plan(df, df.select("path").distinct()).collect()}
+    assert plan == walked(names)
+    crowd = spark.range(20_000).selectExpr("concat('y/', repeat(' ', int(id % 100)), 'n', repeat(' ', int(id / 100)), '.txt') path", "id pos")
+    out = naming.rename_plan(crowd, crowd.select("path").distinct())
+    assert out.select("new").distinct().count() == 20_000
+    counts = {r["status"]: r["n"] for r in naming.rename_counts(out).collect()}
+    assert counts == {"renamed": 19_999, "unchanged": 1}
+
+
+def test_renames_carried_out(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    names = ["a b.txt", "a_b.txt", "a_b_1.txt", "c.txt"]
+    for n in names:
+        (tmp_path / "d" / n).write_text(n)
+    df = spark.createDataFrame([(f"d/{n}", i) for i, n in enumerate(names)], "path string, pos long")
+    plan = naming.rename_plan(df, df.select("path"))
+    want = {r["new"]: r["old"] for r in plan.collect()}
+    assert file_sinks.apply_renames(plan, f"file://{tmp_path}") == {"renamed": 1, "unchanged": 3}
+    assert {p.name: p.read_text() for p in (tmp_path / "d").iterdir()} == want
+    assert file_sinks.apply_renames(plan.withColumn("old", F.lit("gone.txt")).withColumn("new", F.lit("new.txt")).where("status = 'renamed'"), str(tmp_path)) == {"missing": 1, "unchanged": 0}
+
+
+def test_newlines_of_differing_texts(spark):
+    """Expectations made by hand."""
+    cases = [
+        ("The cat sat on the mat.", "The cat\nsat on the\nmat.", False, "The cat \nsat on the \nmat."),
+        ("one two three four five six", "one two\nthree 4 five\nsix", False, "one two \nthree four five \nsix"),
+        ("He said (quietly) no more.", "He said\n(quietly)\nno more.", False, "He said \n(quietly) \nno more."),
+        ("unbroken", "unbro\nken", True, "unbro\n&ken"),
+        ("unbroken", "unbro\nken", False, "unbro\nken"),
+        ("end — begin", "end —\nbegin", True, "end — \nbegin"),
+        ("same text", "same text", True, "same text"),
+        ("only here", "", False, "only here"),
+        ("", "only\nthere\n", False, "\n"),
+        ("A b\nc", "A b c", False, "A b c"),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, original string, transcribed string, mark boolean, want string")
+    for mark in (False, True):
+        out = newlines.carry_breaks(df.where(F.col("mark") == mark), mark).orderBy("i").collect()
+        assert [(r["i"], r["text"]) for r in out] == [(r["i"], r["want"]) for r in out]
+    nothing = spark.createDataFrame([(None, "a"), ("a", None)], "original string, transcribed string")
+    assert [r["text"] for r in newlines.carry_breaks(nothing).collect()] == [None, None]
+
+
+def test_edit_script():
+    rnd = random.Random(4)
+    for _ in range(400):
+        a, b = ("".join(rnd.choice("abc \n") for _ in range(rnd.randrange(0, 40))) for _ in range(2))
+        edits = [(0, x) if k == "equal" else (9, (x, y)) for k, x, y in newlines._edits(a, b)]
+        assert "".join(x if o == 0 else x[0] for o, x in edits) == a and "".join(x if o == 0 else x[1] for o, x in edits) == b
+        script = newlines.coarse([(0, x) if o == 0 else e for o, x in edits for e in ([(0, x)] if o == 0 else [(-1, x[0]), (1, x[1])]) if e[1]])
+        assert "".join(t for o, t in script if o <= 0) == a and "".join(t for o, t in script if o >= 0) == b
+    assert newlines.coarse([(-1, "abcdef"), (0, "x"), (1, "uvwxyz")]) == [(-1, "abcdefx"), (1, "xuvwxyz")]
+    assert newlines.coarse([(-1, "a"), (0, "kept"), (1, "b")]) == [(-1, "a"), (0, "kept"), (1, "b")]
+    long = " ".join(f"w{i}" for i in range(60_000))
+    assert newlines._edits(long.split(" "), long.replace("w500 ", "").split(" "))[1] == ("replace", ["w500"], [])
+
+
+def test_globs(spark, tmp_path):
+    for n in ("a/x.wav", "a/b/y.wav", "a/b/c/z.wav", "a/b/c/n.txt", "x1.wav"):
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_text("1")
+    names = lambda df: [r["path"].rsplit("/", 1)[1] for r in df.orderBy("pos").collect()]
+    assert names(listing.expand(spark, [f"{tmp_path}/x*.wav", f"{tmp_path}/a/**/*.wav", f"{tmp_path}/x1.wav"])) == ["x1.wav", "z.wav", "y.wav", "x.wav"]
+    assert names(listing.expand(spark, [f"{tmp_path}/x?.wav", f"{tmp_path}/x1.wav"], distinct=False)) == ["x1.wav", "x1.wav"]
+    with pytest.warns(UserWarning, match="no file matches"):
+        assert names(listing.expand(spark, [f"{tmp_path}/no*.wav", f"{tmp_path}/**/none"])) == []
+    assert [r["path"] for r in listing.expand(spark, [f"{tmp_path}/no*.wav", "b.wav", "b.wav"], literal=True).orderBy("pos").collect()] == [f"{tmp_path}/no*.wav", "b.wav"]
+    assert listing.expand(spark, []).count() == 0
+
+
+def test_backends(spark, tmp_path):
+    for n, kind in (("ct2/model.bin", "faster-whisper"), ("hf/config.json", "transformers"), ("odd/readme", "transformers")):
+        (tmp_path / n).parent.mkdir()
+        (tmp_path / n).write_text("")
+        assert transcribe.backend_of(str((tmp_path / n).parent)) == kind
+    assert transcribe.backend_of("base") == transcribe.backend_of(str(tmp_path / "hf/config.json")) == "openai-whisper"
+    lists = spark.createDataFrame([("m", ["model.bin"]), ("m", ["config.json"]), ("m", None)], "model string, names array<string>").select(transcribe.detect_backend("model", "names")).collect()
+    assert {r[0] for r in lists} == {"faster-whisper", "transformers", "openai-whisper"} <= set(transcribe.BACKENDS)
+    with pytest.raises(ValueError):
+        transcribe.transcribe(spark.createDataFrame([], "file string, idx long, content binary"), "m", "other")
+    parts = spark.createDataFrame([("f", 2, "b "), ("f", 1, "a"), ("g", 1, None)], "file string, idx long, text string")
+    assert {tuple(r) for r in transcribe.joined_text(parts).collect()} == {("f", "a b"), ("g", "")}
+
+
+def test_exports(spark, tmp_path):
+    """24-bit clips under their names, texts under theirs, metadata lines added to what is there."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.wav").write_bytes(tone([(100, 9000)]))
+    wavs = audio.read_wavs(spark, str(tmp_path / "in"))
+    spans = wavs.selectExpr("file", "1L idx", "0L start", "50L end", "0L pad_lead", "0L pad_tail")
+    clip = audio.cut_clips(wavs, spans, bits=24)
+    x, params = audio.samples(clip.first()["content"])
+    assert params.sampwidth == 3 and (x[:, 0] == audio.samples((tmp_path / "in/a.wav").read_bytes())[0][:400, 0] << 8).all()
+    names = texts.clip_names(spans.withColumnRenamed("start", "export_start"), prefix=F.lit("a"))
+    assert file_sinks.write_files(file_sinks.named_clips(clip, names), str(tmp_path / "out"))[0] == 1
+    assert audio.samples((tmp_path / "out/a_001.wav").read_bytes())[1].sampwidth == 3
+    rows = spark.createDataFrame([("/t/x.txt", "a\nb"), ("y.md", "é"), ("z", None)], "path string, text string").withColumn("name", file_sinks.newline_name("path"))
+    assert file_sinks.write_files(rows, f"file://{tmp_path}/n", content="text") == (2, 5)
+    assert {p.name: p.read_text(encoding="utf-8") for p in (tmp_path / "n").iterdir()} == {"x_newline.txt": "a\nb", "y_newline.md": "é"}
+    lines = spark.createDataFrame([("a|b",)], "line string")
+    for n in (1, 2):
+        texts.append_metadata(lines, str(tmp_path / "meta"))
+        assert spark.read.text(str(tmp_path / "meta")).count() == n
+
+
+def test_ass_without_format(spark):
+    ass = "[Events]\nDialogue: 0,0:00:01.00,0:00:02.00,Default,,0,0,0,,Hi, you\nDialogue: 0,0:00:01.00\n[broken\nDialogue: 0,0:00:03.00,0:00:04.00,Default,,0,0,0,,no"
+    rows = subtitles.ass_cues(spark.createDataFrame([("f", ass)], "file string, value string")).collect()
+    assert [tuple(r) for r in rows] == [("f", 1, 1000, 2000, "Hi, you")]
+
+
+def test_loud_recordings(spark):
+    """Running sums far beyond 2^53 still find a silence of nothing but zeros."""
+    frames = spark.range(400).selectExpr("'f' file", "id ms", "IF(id BETWEEN 200 AND 299, 0.0D, 4.0e15D + 3) ss", "48L n")
+    assert [tuple(r) for r in silence.silences(frames, F.lit(0.0), 50).collect()] == [("f", 200, 300)]
+
+
+def test_manifests_together(spark):
+    """Rows of two manifests with the same line numbers keep their own audio."""
+    rows = spark.createDataFrame([("m1", 0, "a|t"), ("m2", 0, "b|t"), ("m2", 1, "c.wav|t")], "file string, line_no long, value string")
+    parsed = rows.select("file").distinct()
+    there = spark.createDataFrame([(f"wavs/{x}.wav",) for x in "abc"] + [(None,)], "path string")
+    for f in ("m1", "m2"):
+        one = manifest.parse(rows.where(F.col("file") == f)).withColumn("file", F.lit(f))
+        parsed = one if f == "m1" else parsed.unionByName(one)
+    assert {(r["file"], r["line_no"], r["audio"]) for r in manifest.resolve(parsed, there).collect()} == {("m1", 0, "wavs/a.wav"), ("m2", 0, "wavs/b.wav"), ("m2", 1, "wavs/c.wav")}
+    shuffled = manifest.ordered(parsed, True, 5).collect()
+    assert len(shuffled) == 3 and shuffled == manifest.ordered(parsed, True, 5).collect()
+
+
 def test_newlines(spark):
     pairs = [("Hello there my friend.", "Hello there\nmy friend."), ("a b", "a b\n"), ("x", "\nx"), ("", "")]
     out = [r["text"] for r in newlines.carry_breaks(spark.createDataFrame(pairs, "original string, transcribed string").coalesce(1)).collect()]
