@@ -11,7 +11,7 @@ _TAIL = r"(?s)^(.+)(\.[^.]+)$"
 
 
 def basename(path: Column | str) -> Column:
-    return F.regexp_extract(col(path), r"([^/]*)/*\z", 1)
+    return F.substring_index(F.rtrim(col(path), F.lit("/")), "/", -1)
 
 
 def parent(path: Column | str) -> Column:

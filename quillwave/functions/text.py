@@ -29,7 +29,9 @@ def skipped(c: Column | str) -> Column:
 
 def clean_name(c: Column | str) -> Column:
     """A file name without blanks and quotes: each run becomes one underscore, none at the ends; `_` if nothing is left."""
-    out = F.btrim(F.regexp_replace(col(c), rf"[{WHITESPACE}{QUOTES}]+", "_"), F.lit("_"))
+    parting = BLANKS.replace(" ", "") + QUOTES
+    parts = F.split(F.translate(col(c), parting, " " * len(parting)), " ")
+    out = F.btrim(F.array_join(F.filter(parts, lambda x: x != ""), "_"), F.lit("_"))
     return F.when(col(c).isNotNull(), F.coalesce(F.nullif(out, F.lit("")), F.lit("_")))
 
 

@@ -52,13 +52,14 @@ CELL_LINES = 1 << 16  #: line numbers of a folder whose rows are ranked together
 
 
 def _ranked(rows: DataFrame, name: str, cell: Column, order: list[Column]) -> DataFrame:
-    """``rows`` with their rank from 1 in ``order`` within dir, ``cell`` being a coarser form of that order.
+    """``rows`` with their rank from 1 in ``order`` within dir, ``cell`` being a coarser form of that order, and dir's size.
 
     Rows are ranked within cells, and running totals of the cells' counts added.
     """
-    celled = rows.withColumn("_cell", cell)
+    celled = rows.drop("size").withColumn("_cell", cell)
     before = Window.partitionBy("dir").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # one row a cell
-    starts = celled.groupBy("dir", "_cell").count().select("dir", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    total = F.sum("count").over(Window.partitionBy("dir"))
+    starts = celled.groupBy("dir", "_cell").count().select("dir", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"), total.alias("size"))
     inner = Window.partitionBy("dir", "_cell").orderBy(*order)
     return celled.withColumn(name, F.row_number().over(inner)).join(starts, ["dir", "_cell"]).withColumn(name, F.col(name) + F.col("_start")).drop("_cell", "_start")
 
@@ -76,16 +77,14 @@ def references(samples: DataFrame, ratio: float = 0.4, allow_self: bool = False,
         raise ValueError("ratio lies between 0 and 1")
     base = samples.withColumn("dir", parent("audio"))
     placed = _ranked(base, "pos", F.floor(F.col("line_no") / CELL_LINES), [F.col("line_no")])
-    placed = placed.withColumn("pos", (F.col("pos") - 1).cast("long"))
+    ranked = placed.withColumn("pos", (F.col("pos") - 1).cast("long"))
     draw = _draw(seed, "pick", F.col("line_no"))
-    placed = _ranked(placed, "turn", F.substring(draw, 1, 3), [draw, F.col("line_no")])
-    sizes = base.groupBy("dir").agg(F.count("*").alias("size"))
-    placed = placed.join(sizes, "dir")
+    placed = _ranked(ranked, "turn", F.substring(draw, 1, 3), [draw, F.col("line_no")])
     h = F.conv(F.substring(_draw(seed, "partner", F.col("line_no")), 1, 12), 16, 10).cast("long")
     anyone = F.lit(allow_self) | (F.col("size") == 1)
     partner = F.when(anyone, h % F.col("size")).otherwise((F.col("pos") + 1 + h % F.greatest(F.col("size") - 1, F.lit(1))) % F.col("size"))
     picked = placed.withColumn("want", F.when(F.col("turn") <= F.least(F.col("size"), half_even(F.col("size") * ratio)), partner))
-    other = placed.select(F.col("dir").alias("_d"), F.col("pos").alias("_p"), F.col("audio").alias("ref_audio"))
+    other = ranked.select(F.col("dir").alias("_d"), F.col("pos").alias("_p"), F.col("audio").alias("ref_audio"))
     out = picked.join(other, (F.col("dir") == F.col("_d")) & (F.col("want") == F.col("_p")), "left")
     return out.drop("_d", "_p", "want", "size", "turn")
 
