@@ -259,24 +259,26 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096) -> DataFrame:
     Tokenising writes one narrow row a piece to the shared folder.  The driver sees only
     the count of each length, at most ``capacity`` rows, and plans on those.  Pieces get
     ranks within their length in cells of about ``CELL_ROWS`` rows, ``CELLS`` of them at
-    most, so a length that most documents share is still ranked by many tasks, and a bounded plan table turns
-    the rank into sequence and offset.
+    most, so a length that most documents share is still ranked by many tasks, and a
+    bounded plan table turns the rank into sequence and offset.  A piece's cell comes from
+    the piece and from its number in the written table, so equal pieces spread over cells, too.
 
-    Every row is packed for itself, so repeated rows and null ids are kept; extra
-    columns are ignored.  An empty table gives an empty result.
+    Every row is packed for itself, so repeated rows and null ids are kept; which of the
+    places for its length a piece gets depends on how the table was read.  Extra columns
+    are ignored.  An empty table gives an empty result.
 
     Returns doc_id long, piece int, start long, length long, ids_crc32 long,
     sequence_id long, offset long.
     """
     spark = docs.sparkSession
-    pieces = persisted(piece_rows(docs, vocabulary, capacity))
+    pieces = persisted(piece_rows(docs, vocabulary, capacity).withColumn("_written", F.monotonically_increasing_id()))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     cells = spark.createDataFrame([(n, min(CELLS, -(-c // CELL_ROWS))) for n, c in counts.items()], "length long, _cells long")
     plan_rows = spark.createDataFrame(
         plan(counts, capacity), "length long, _from long, _to long, _first long, _each long, _offset long"
     )
     row = ["doc_id", "piece", "start", "ids_crc32"]
-    celled = pieces.join(F.broadcast(cells), "length").withColumn("_cell", F.pmod(F.xxhash64(*row), "_cells")).drop("_cells")
+    celled = pieces.join(F.broadcast(cells), "length").withColumn("_cell", F.pmod(F.xxhash64(*row, "_written"), "_cells")).drop("_cells", "_written")
     before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     base = celled.groupBy("length", "_cell").count().select("length", "_cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     order = Window.partitionBy("length", "_cell").orderBy(*row)

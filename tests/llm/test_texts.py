@@ -111,6 +111,16 @@ def test_packing(docs, rows):
     assert packing.pack(docs.limit(0), path, size).count() == 0
 
 
+def test_packing_of_one_repeated_row(spark, monkeypatch):
+    """Equal pieces are ranked in several cells, and still placed without gaps."""
+    monkeypatch.setattr(packing, "CELL_ROWS", 16)
+    out = packing.pack(spark.createDataFrame([(None, "")] * 500 + [(7, "a b c")], "doc_id long, text string"), vocabulary("word_bpe_49k.json"), 16).toPandas()
+    assert len(out) == 501 and (out.length == 1).sum() == 500
+    for _, s in out.sort_values("offset").groupby("sequence_id"):
+        assert list(s.offset) == [0, *np.cumsum(s.length)[:-1]] and s.length.sum() <= 16
+    assert out.sequence_id.nunique() == -(-int(out.length.sum()) // 16)
+
+
 def test_packing_of_other_vocabularies(docs, rows):
     """A vocabulary whose ids depend on blanks gets whole texts."""
     path = vocabulary("byte_bpe_50k.json")
