@@ -112,3 +112,14 @@ def json_lines(samples: DataFrame) -> Column:
 def ordered(samples: DataFrame, shuffle: bool = True, seed: int = 0) -> DataFrame:
     """By folder and line, or in an order drawn from the seed; a range-partitioned sort either way."""
     return samples.orderBy(_draw(seed, "order", F.col("line_no")), "line_no") if shuffle else samples.orderBy("dir", "line_no")
+
+
+def places(samples: DataFrame, seed: int = 0) -> DataFrame:
+    """``samples`` with place long: their numbers from 1 in the shuffled order of ``ordered``, for sinks that keep no order.
+
+    Ranked in ranges of the draw, so no task sorts all rows.
+    """
+    draw = _draw(seed, "order", F.col("line_no"))
+    keyed = samples.select(F.lit("").alias("dir"), "line_no", F.struct(*samples.columns).alias("_row"))
+    ranked = _ranked(keyed, "place", F.substring(draw, 1, 3), [draw, F.col("line_no")])
+    return ranked.select("_row.*", F.col("place").cast("long").alias("place"))

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from quillwave.plans import catalogue
+from quillwave.plans import catalogue, media  # noqa: F401  media adds its queries to the catalogue
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
