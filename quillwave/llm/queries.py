@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversation_repair import conversation_repair, damaged
 from .hash_forest import nearest
+from .importance import importance_resample
 from .language_id import language_id
 from .line_templates import line_dedup
+from .mixing import mix
 from .ngram_join import ngram_join
 from .packing import pack
 from .sharding import shard_documents
@@ -68,6 +71,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), size=5, percent=80).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair(conversations, damaged(conversations))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, longest=1, least_words=20, seed=2024)
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), percent=150, weights=(3, 1, 2), most=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_warc": op2_warc,
@@ -79,8 +96,43 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_line_templates": op9_line_templates,
     "op10_ngram_join": op10_ngram_join,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_source_mixing": op13_source_mixing,
 }
 
+# Checksums (CRC-32) of texts: a table of 256 entries by its rule, then a byte at a time.
+_CRC = """
+    crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS BIGINT)) ELSE a >> 1 END)) AS tab)"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the checksum of an expression's UTF-8 bytes, where crc_table is joined."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {octets}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT))"
+
+
+def _edit(v: str, cost: str, letter: str, left: str | None) -> str:
+    """SQL for a state's value (cost, audit, repaired text) after an edit that leaves a turn, or none."""
+    text = f"{v}.t" if left is None else f"CASE WHEN {v}.n > 0 THEN {v}.t || chr(10) ELSE '' END || {left}"
+    return f"CASE WHEN {v} IS NOT NULL THEN {{'c': {v}.c + {cost}, 'a': {v}.a || '{letter}', 't': {text}, 'n': {v}.n + {0 if left is None else 1}}} END"
+
+
+# The values of the four states (begin, after s, after u, after a) with turns inserted before the next one.
+_INSERTED = f"""
+    SELECT * REPLACE (least(w3, {_edit("w2", "3", "I", "'assistant:'")}) AS w3) FROM (
+        SELECT * EXCLUDE (v0, v1, v2, v3), v0 AS w0, v1 AS w1, least(v2, {", ".join(_edit(v, "3", "I", "'user:'") for v in ("v0", "v1", "v3"))}) AS w2, v3 AS w3 FROM"""
+_KEEP, _RENAME = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END", "CASE WHEN fault = 'truncated' THEN 6 ELSE 3 END"
+
+
+def _kept(v: str, role: str) -> str:
+    return f"CASE WHEN alive AND role[1] = '{role}' THEN {_edit(v, _KEEP, 'K', "role || ':' || text")} END"
+
+
+def _renamed(v: str, role: str) -> str:
+    return f"CASE WHEN alive THEN {_edit(v, _RENAME, 'R', f"'{role}:' || text")} END"
+
 ORACLE_SQL = {
     "op1_topk_search": """
         WITH v AS (
@@ -184,4 +236,61 @@ ORACLE_SQL = {
         )
         SELECT r.a AS doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id FROM reach r LEFT JOIN sizes s ON r.a = s.doc_id GROUP BY r.a
     """,
+    "op11_conversation_repair": f"""
+        WITH RECURSIVE {_CRC}, plain AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations
+        ), marked AS (
+            SELECT p.*, {_crc32("place")} % 20 AS z FROM plain p, crc_table
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN z = 4 THEN 'user' ELSE role END AS role, CASE z WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(CASE WHEN z = 3 THEN [0, 1] ELSE [0] END) AS copy FROM marked WHERE z <> 0
+        ), placed AS (
+            SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || ':' || text)) AS i FROM damaged
+        ), faulty AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x09-\\x0D\\x20]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                           WHEN NOT regexp_matches(text, '[.!?][\\x09-\\x0D\\x20]*\\z') THEN 'truncated' ELSE '' END AS fault,
+                   lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed
+        ), turns AS (
+            SELECT *, fault NOT IN ('blank', 'duplicate') AS alive FROM faulty
+        ), walk AS (
+            SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 't': '', 'n': CAST(0 AS BIGINT)}} AS v0,
+                   CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR, n BIGINT)) AS v1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR, n BIGINT)) AS v2, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR, n BIGINT)) AS v3 FROM turns
+            UNION ALL
+            SELECT x.conv_id, x.i + 1, {_edit("w0", "4", "D", None)}, least({_edit("w1", "4", "D", None)}, {_kept("w0", "s")}),
+                   least({_edit("w2", "4", "D", None)}, {", ".join(f(v, r) for v in ("w0", "w1", "w3") for f, r in ((_kept, "u"), (_renamed, "user")))}),
+                   least({_edit("w3", "4", "D", None)}, {_kept("w2", "a")}, {_renamed("w2", "assistant")})
+            FROM ({_INSERTED} walk)) x JOIN turns t ON x.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = x.i + 1
+        ), ends AS (
+            SELECT conv_id, least(w0, w3) AS best FROM ({_INSERTED} (SELECT * FROM walk QUALIFY i = max(i) OVER (PARTITION BY conv_id))))
+        ), counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id
+        ), ids AS (SELECT DISTINCT conv_id FROM conversations)
+        SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.t, '')) AS repaired_sha256
+        FROM ids d LEFT JOIN counts c ON d.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON d.conv_id IS NOT DISTINCT FROM e.conv_id
+    """,
+    "op12_importance_resampling": f"""
+        WITH {_CRC}, d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), b AS (
+            SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+        ), dw AS (SELECT r, unnest(w) AS word FROM d), bw AS (SELECT unnest(w) AS word FROM b),
+        hashed AS (
+            SELECT word, {_crc32("word")} % 10000 AS k FROM (SELECT DISTINCT word FROM (SELECT word FROM dw UNION ALL SELECT word FROM bw)), crc_table
+        ), s AS (SELECT k, count(*) AS s FROM dw JOIN hashed USING (word) GROUP BY k), t AS (SELECT k, count(*) AS t FROM bw JOIN hashed USING (word) GROUP BY k),
+        sums AS (SELECT (SELECT count(*) FROM dw) AS ss, (SELECT count(*) FROM bw) AS tt),
+        gain AS (
+            SELECT h.k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * (tt + 10000)::DOUBLE))) AS BIGINT) AS g
+            FROM (SELECT DISTINCT k FROM hashed) h LEFT JOIN s ON h.k = s.k LEFT JOIN t ON h.k = t.k, sums
+        ), weights AS (SELECT r, CAST(sum(g) AS BIGINT) AS weight FROM dw JOIN hashed USING (word) JOIN gain USING (k) GROUP BY r),
+        scored AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+            FROM d LEFT JOIN weights ON d.r = weights.r
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM ranked
+    """,
 }

@@ -8,8 +8,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHARED_DIR = "quillwave.shared.dir"  #: setting that names the folder where the other one is absent
@@ -99,3 +103,57 @@ def text_key(docs: DataFrame) -> tuple[Column, Column]:
 
     # 60 bits each, and one more to keep a null text apart from an empty one
     return part(1), part(16) * 2 + F.col("text").isNull().cast("long")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """``df``, written, with its numbers from 0 in ``order``, which many tasks sort in ranges of it.
+
+    Each range's rows are counted, and the ranges' offsets (a row for each partition) are
+    broadcast.  Rows alike in ``order`` are numbered in any order.
+    """
+    held = persisted(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    counts = held.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return held.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn(name, (F.col("_start") + inside).cast("long")).drop("_part", "_start", "_at")
+
+
+def numbered_within(df: DataFrame, group: list[str], order: list[Column], name: str = "place") -> DataFrame:
+    """``df``, written, with its numbers from 0 within each ``group`` in ``order``; a group of any size is sorted by many tasks.
+
+    All rows are sorted in ranges of (group, order).  A task numbers the runs of its range;
+    a group that began in an earlier range gets an offset, and as only one group can
+    reach over a partition's edge, there is at most one offset a partition to broadcast.
+    The columns in ``group`` must not be null.
+    """
+    sorting = [F.col(g).asc() for g in group] + order
+    schema = StructType([*df.schema.fields, StructField("_part", LongType()), StructField("_inside", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, count = None, 0
+        for batch in batches:
+            keys = [batch.column(g) for g in group]
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for k in keys:
+                new[1:] |= ~np.asarray(pc.equal(k.slice(1), k.slice(0, n - 1)))
+            first = [k[0].as_py() for k in keys]
+            if first != last:
+                new[0], count = True, 0
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, at, 0))
+            inside = at - start + np.where(start == 0, 0 if new[0] else count, 0)
+            last, count = [k[n - 1].as_py() for k in keys], int(inside[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(inside)], [*batch.schema.names, "_inside"])
+
+    laid = df.repartitionByRange(*sorting).sortWithinPartitions(*sorting).withColumn("_part", F.spark_partition_id().cast("long"))
+    held = persisted(laid.mapInArrow(run, schema))
+    counts = held.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = counts.withColumn("_start", F.sum("_n").over(before)).where("_start is not null").drop("_n")
+    joined = held.join(F.broadcast(starts), [*group, "_part"], "left")
+    return joined.select(*[quoted(c) for c in df.columns], (F.coalesce("_start", F.lit(0)) + F.col("_inside")).cast("long").alias(name))

@@ -19,7 +19,7 @@ def rows(frame, columns):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
     got, want = queries.QUERIES[name](spark, DATA).toPandas(), con.execute(queries.ORACLE_SQL[name]).df()
     columns = sorted(want.columns)
