@@ -27,7 +27,7 @@ def features(text: Column | str, longest: int) -> Column:
 
     def runs(w: Column, n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
-        return F.when(F.size(w) >= n, F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(w) >= n, F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(w, i + (j - 1)) for j in range(n)]))).otherwise(F.array().cast("array<string>"))
 
     # Words are made once and named by the lambda; as an expression they would be made for each run.
     return F.flatten(F.transform(F.array(words(text)), lambda w: F.concat(w, *[runs(w, n) for n in range(2, longest + 1)])))
@@ -82,10 +82,11 @@ def importance_resample(docs: DataFrame, target: DataFrame, percent: int = 10, l
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = persisted(gains(persisted(counted(rows, longest, buckets)), persisted(counted(target.select("text"), longest, buckets)), buckets))
-    numbered_rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     single = longest == 1
     n_words = F.lit(None).cast("long") if single else F.size(words("text")).cast("long")
-    each = numbered_rows.select("row", "doc_id", n_words.alias("n_words"), F.explode_outer(features("text", longest)).alias("feature"))
+    # Words are counted below the explosion, not for each of its rows.
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", n_words.alias("n_words"))
+    each = rows.select("row", "doc_id", "n_words", F.explode_outer(features("text", longest)).alias("feature"))
     each = each.withColumn("bucket", bucket("feature", buckets)).join(F.broadcast(table), "bucket", "left")
     sums = each.groupBy("row", "doc_id", "n_words").agg(F.count("feature").alias("n_features"), F.coalesce(F.sum("gain"), F.lit(0)).alias("weight"))
     n_words = F.col("n_features") if single else F.col("n_words")

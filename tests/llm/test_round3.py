@@ -119,7 +119,6 @@ def test_layers_of_long_conversations():
             assert pieces.translate(str.maketrans("ijrq", "IIRR")) == audit
         cut = rnd.randrange(0, len(turns) + 1)
         a, b = cr.transfer(turns[:cut]), cr.transfer(turns[cut:])
-        base = sum(min(c for c in (f + (3 if t.isupper() else 0) for f in ([0] if t.lower() in "sua" else []) + [3]) ) if t != "d" else 4 for t in turns)
         base = sum(4 if t in "dX" else 3 if t in "xSUA" else 0 for t in turns)
         assert base + min(a[q] + b[4 * q + e] for q in range(4) for e in (0, 3)) == cost
 
@@ -145,10 +144,11 @@ def resampled(docs, target, percent, longest, least, buckets=10_000):
 
     each = [(d, *runs(t)) for d, t in docs]
     s, t = Counter(b for _, _, f in each for b in f), Counter(b for x in target for b in runs(x)[1])
-    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (s.total() + buckets) / ((s[b] + 1) * (t.total() + buckets))))
+    all_s, all_t = s.total(), t.total()
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in s}
     rows = []
     for d, n, f in each:
-        w = sum(gain(b) for b in f)
+        w = sum(gain[b] for b in f)
         h = int(hashlib.sha256(f"2024:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
         rows.append((d, n, len(f), w, w + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
     order = sorted((i for i, r in enumerate(rows) if r[1] >= least), key=lambda i: (-rows[i][4], rows[i][0] is None, rows[i][0] or 0))
