@@ -21,10 +21,9 @@ DIMENSIONS = 16
 CHUNK = 1 << 18  #: bytes whose subwords are looked up at once
 SAMPLE_PER_LANGUAGE = 800  #: training documents of a language at most
 SAMPLE = 16_000  #: training documents of all languages at most
-LANGUAGES = 400  #: languages that are learned at most, the most frequent ones
 REJECT_SHARE = 0.001  #: share of the calibration documents that may be rejected
 FAMILIAR_SHARE = 0.1  #: share of a language's training documents that a familiar subword is in
-CALIBRATION = 100  #: calibration documents without which nothing is known of what is unfamiliar
+CALIBRATION = 20  #: calibration documents at which the limit for unfamiliar texts is half as loose as with none
 UNDETERMINED = "und"
 
 # ASCII letters in lower case, other ASCII as one blank, bytes of longer characters as they are.
@@ -118,8 +117,9 @@ def train(counted: list[tuple[np.ndarray, np.ndarray]], languages: list[str], ep
 
     Probabilities say which of the known languages is nearest, not whether one is near.
     For that, a text's share of familiar subwords is held against the calibration texts'
-    shares, of which ``REJECT_SHARE`` at most may be below the limit, too.  With fewer
-    than ``CALIBRATION`` of them there is no such limit.
+    shares, of which ``REJECT_SHARE`` at most may be below the limit, too.  A few documents
+    say little about the smallest share to expect, so the limit lies below theirs by a part
+    that shrinks as their number grows; without any there is no limit.
     """
     known = sorted(set(languages))
     y = np.array([known.index(x) for x in languages])
@@ -147,13 +147,15 @@ def train(counted: list[tuple[np.ndarray, np.ndarray]], languages: list[str], ep
             bias -= step * 0.1 * p
             e[ids] -= step * 8 * np.outer(share, g)
     model = LanguageModel(known, (e @ w).astype(np.float32), bias)
-    if len(held) >= CALIBRATION:
+    if len(held):
         seen = np.zeros((BUCKETS, len(known)))
         for i in fit:
             seen[bags[i][0], y[i]] += 1
         model.familiar = (seen >= np.maximum(1, FAMILIAR_SHARE * np.bincount(y[fit], minlength=len(known)))).any(axis=1)
         shares = np.sort([bags[i][1] @ model.familiar[bags[i][0]] if len(bags[i][0]) else 1.0 for i in held])
-        model.least_familiar = float(shares[int(len(shares) * REJECT_SHARE)]) - 1e-5  # for the rounding of sums
+        lowest = float(shares[int(len(shares) * REJECT_SHARE)])
+        loose = max(float(shares.mean()) - lowest, lowest / 2) * CALIBRATION / (CALIBRATION + len(shares))
+        model.least_familiar = lowest - loose - 1e-5  # for the rounding of sums
     if len(held) and len(known) > 1:
         z = np.array([bags[i][1] @ model.logits[bags[i][0]] + bias for i in held])
         loss = {t: -np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in np.geomspace(0.05, 20, 61)}
@@ -168,20 +170,21 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
-def training_sample(docs: DataFrame) -> DataFrame:
+def training_sample(docs: DataFrame, languages: int | None = None) -> DataFrame:
     """(lang, h, ids, n): the bags of the documents drawn for training, by a hash of id and text.
 
-    A first pass estimates how many different documents each language has.  The
-    ``LANGUAGES`` most frequent ones get ``SAMPLE_PER_LANGUAGE`` documents each, or an equal
-    part of ``SAMPLE`` if that is less.  Only documents whose hash falls into the share that
+    A first pass estimates how many different documents each language has.  All of them, or
+    the ``languages`` most frequent ones, get ``SAMPLE_PER_LANGUAGE`` documents each, or an
+    equal part of ``SAMPLE`` if that is less, and one at least.  Only documents whose hash falls into the share that
     holds three times as many are shuffled and ranked, and whole texts of any length are
     made bags of, whose size is bounded.  So neither shuffle nor sample grows with the
     number of rows, repeated rows count once, and no length is left out.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
     draw = labelled.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.col("doc_id"), "text", F.lit("draw")).alias("h"))
-    sizes = draw.groupBy("lang").agg(F.approx_count_distinct("h", 0.03).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    each = min(SAMPLE_PER_LANGUAGE, SAMPLE // max(1, len(sizes)))
+    sizes = draw.groupBy("lang").agg(F.approx_count_distinct("h", 0.03).alias("n")).orderBy(F.desc("n"), "lang")
+    sizes = (sizes if languages is None else sizes.limit(languages)).collect()  # a row for each language that the model will hold
+    each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE // max(1, len(sizes))))
     shares = [(r["lang"], int(min(1.0, 3 * each / max(1, r["n"])) * (1 << 32))) for r in sizes]
     limits = docs.sparkSession.createDataFrame(shares, "lang string, below long")
     within = draw.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 32)) < F.col("below"))
@@ -199,21 +202,24 @@ def training_sample(docs: DataFrame) -> DataFrame:
     return drawn.mapInArrow(run, "lang string, h long, ids array<int>, n array<int>")
 
 
-def trained(docs: DataFrame) -> LanguageModel:
+def trained(docs: DataFrame, languages: int | None = None) -> LanguageModel:
     """A model of the languages of ``docs``, trained on the driver on the bounded :func:`training_sample`."""
-    sample = training_sample(docs).orderBy("lang", "h").toArrow()
+    sample = training_sample(docs, languages).orderBy("lang", "h").toArrow()
     if not sample.num_rows:
         return LanguageModel([], np.zeros((0, 0)), np.zeros(0))
     ids, n = ([np.asarray(x.values) for x in sample.column(c)] for c in ("ids", "n"))
     return train(list(zip(ids, n, strict=True)), sample.column("lang").to_pylist())
 
 
-def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
+def language_id(docs: DataFrame, model: LanguageModel | None = None, languages: int | None = None) -> DataFrame:
     """``docs`` with held_out boolean, lang_pred string, score double and rejected boolean.
 
     Without a ``model`` one is trained first, on the driver, on the bounded
-    ``training_sample`` of the same table.  Every whole text is then scored in its own
-    scan task, without a shuffle.
+    ``training_sample`` of the same table.  Every label is learned; the model has a row of
+    weights for each, so ``languages`` may keep it to the most frequent ones where labels
+    are many and mostly noise: texts of the others then get the nearest one that is known,
+    or are rejected.  With few calibration documents the rejection is looser (see
+    :func:`train`).  Every whole text is scored in its own scan task, without a shuffle.
 
     A null text, or one without a letter, gets `und`, score 0 and is rejected, as is
     every text if nothing was labelled.  A text in none of the learned languages keeps
@@ -221,9 +227,9 @@ def language_id(docs: DataFrame, model: LanguageModel | None = None) -> DataFram
     rows don't matter; existing columns of the new names are replaced.  An empty table
     gives an empty result.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model or trained(docs))
+    sent = docs.sparkSession.sparkContext.broadcast(model or trained(docs, languages))
     new = ["held_out", "lang_pred", "score", "rejected"]
-    kept = [c for c in docs.columns if c not in new]
+    kept = [c for c in docs.columns if c.lower() not in new]
     marked = docs.select(
         F.struct(*[quoted(c).alias(c) for c in kept]).alias("row"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
     )

@@ -85,10 +85,9 @@ def test_language_id_on_the_table(spark):
 def test_language_sample(spark, monkeypatch):
     """Long texts are drawn like short ones, repeated rows once, and rare languages give way beyond the bound."""
     monkeypatch.setattr(language_id, "SAMPLE_PER_LANGUAGE", 30)
-    monkeypatch.setattr(language_id, "LANGUAGES", 3)
     rows = [(i, f"kurz {i}", "kk") for i in range(500)] + [(None, "wieder", "kk")] * 400 + [(2000 + i, f"{i} " + "lang " * 40_000, "ll") for i in range(12)]
     rows += [(3000 + i, f"mm {i}", "mm") for i in range(9)] + [(4000, "selten", "zz"), (5000, "", "kk"), (5001, None, "kk"), (5002, "x", None)]
-    sample = language_id.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)).collect()
+    sample = language_id.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), 3).collect()
     fit = {k: sum(zlib.crc32(str(i if i is not None else "").encode()) % 3 != 1 for i in {r[0] for r in rows if r[2] == k and r[1]}) for k in ("ll", "mm")}
     assert Counter(r["lang"] for r in sample) == {"kk": 30, **fit}
     assert all(sum(r["n"]) > 400_000 for r in sample if r["lang"] == "ll") and len({r["h"] for r in sample}) == len(sample)
