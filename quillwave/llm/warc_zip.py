@@ -185,8 +185,28 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     return pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records long")
 
 
-def index_rows(packages: DataFrame) -> DataFrame:
-    """(path, at, length) of every record of the packages, absolute places in the file."""
+def _spans(entries: list[tuple[int, int]]) -> Iterator[tuple[int, list[int]]]:
+    """(start, lengths): neighbouring records joined to reads of about ``SPAN`` bytes."""
+    entries.sort()
+    start, lengths, end = 0, [], 0
+    for at, n in entries:
+        if lengths and (at != end or end - start >= SPAN):
+            yield start, lengths
+            lengths = []
+        if not lengths:
+            start = at
+        lengths.append(n)
+        end = at + n
+    if lengths:
+        yield start, lengths
+
+
+def index_spans(packages: DataFrame) -> DataFrame:
+    """(path, at, lengths): stretches of neighbouring records of about ``SPAN`` bytes, absolute places in the file.
+
+    They are what tasks are dealt, so a package takes about as many reads as it has spans
+    of bytes, however many its records are.
+    """
 
     def run(batches):
         for batch in batches:
@@ -197,52 +217,39 @@ def index_rows(packages: DataFrame) -> DataFrame:
                     data, index = begin(file, members[DATA]), members[INDEX]
                     lines = _read(file, begin(file, index), index.size).decode().splitlines()
                 entries = [json.loads(x) for x in lines]
-                for a in range(0, len(entries), 10_000):
-                    some = entries[a : a + 10_000]
+                spans = list(_spans([(data + x["offset"], x["length"]) for x in entries]))
+                for a in range(0, len(spans), 256):
+                    some = spans[a : a + 256]
                     yield pa.RecordBatch.from_pydict(
-                        {"path": [path] * len(some), "at": [data + x["offset"] for x in some], "length": [x["length"] for x in some]},
-                        schema=pa.schema([("path", pa.string()), ("at", pa.int64()), ("length", pa.int64())]),
+                        {"path": [path] * len(some), "at": [x[0] for x in some], "lengths": [x[1] for x in some]},
+                        schema=pa.schema([("path", pa.string()), ("at", pa.int64()), ("lengths", pa.list_(pa.int64()))]),
                     )
 
-    return packages.select("path").mapInArrow(run, "path string, at long, length long")
-
-
-def _spans(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
-    """Neighbouring ranges of one package joined to reads of about ``SPAN`` bytes."""
-    rows.sort()
-    i = 0
-    while i < len(rows):
-        path, at, n = rows[i]
-        own, end = [(at, n)], at + n
-        i += 1
-        while i < len(rows) and rows[i][0] == path and rows[i][1] == end and end - at < SPAN:
-            own.append(rows[i][1:])
-            end += rows[i][2]
-            i += 1
-        yield path, at, end - at, own
+    return packages.select("path").mapInArrow(run, "path string, at long, lengths array<long>")
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """The parsed records at the places that :func:`index_rows` gives, by ranged reads."""
+def read_records(spans: DataFrame) -> DataFrame:
+    """The parsed records at the places that :func:`index_spans` gives, by one ranged read for each."""
     columns = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()}
 
     def run(batches):
+        opened = (None, None)
         for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("path", "at", "length")), strict=True))
-            found, opened = [], (None, None)
-            for path, at, n, own in _spans(rows):
+            for path, at, lengths in zip(*(batch.column(c).to_pylist() for c in ("path", "at", "lengths")), strict=True):
                 if opened[0] != path:
                     if opened[1]:
                         opened[1].close()
                     store, place = fs.FileSystem.from_uri(path)
                     opened = (path, store.open_input_file(place))
-                data = _read(opened[1], at, n)
-                found += [parse(zlib.decompress(data[a - at : a - at + k], wbits=31)) for a, k in own]
-            if opened[1]:
-                opened[1].close()
-            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in columns.items()], list(columns))
+                data, a, found = _read(opened[1], at, sum(lengths)), 0, []
+                for n in lengths:
+                    found.append(parse(zlib.decompress(data[a : a + n], wbits=31)))
+                    a += n
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in columns.items()], list(columns))
+        if opened[1]:
+            opened[1].close()
 
-    return index.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return spans.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -264,12 +271,12 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
 def read_packages(packages: DataFrame) -> DataFrame:
     """Every record of the packages: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    The package index is spread over tasks record by record, so one large package is
-    read by many.  No package is extracted or held whole.
+    Spans of the packages' records are spread over tasks, so one large package is read by
+    many, each record's bytes once.  No package is extracted or held whole.
     """
     spark = packages.sparkSession
-    index = index_rows(packages).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return read_records(index)
+    spans = index_spans(packages).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return read_records(spans)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
