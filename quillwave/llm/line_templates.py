@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import secrets
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWEST, persisted, quoted, text_key
+from .shared import LOWEST, persisted, quoted, text_key, without
 
 DEPTH = 3  #: leading tokens that lead to a leaf, after the token count
 MIN_DOCS = 10  #: documents in which a template recurs
@@ -25,9 +26,9 @@ def masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
 
 
-def line_key(line: Column | str) -> list[Column]:
-    """Two hashes of a line under two seeds."""
-    return [F.xxhash64(line), F.xxhash64(F.lit("line"), line)]
+def line_key(line: Column | str, key: int) -> list[Column]:
+    """Two hashes of a line, seeded by a key that is drawn for each run, so that no line can be made to collide."""
+    return [F.xxhash64(F.lit(key), line), F.xxhash64(F.lit(~key), line)]
 
 
 def leaves(rows: DataFrame) -> DataFrame:
@@ -41,9 +42,11 @@ def leaves(rows: DataFrame) -> DataFrame:
     return lines.withColumn("n", F.size(tokens)).withColumn("lead", F.array_join(F.transform(F.slice(tokens, 1, DEPTH), masked), " "))
 
 
-def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataFrame:
+def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float, key: int) -> DataFrame:
     """(d, t, u, gone): for each document, the keys of its lines whose template recurs in ``min_docs`` documents or more.
 
+    ``rows`` holds each document once.
+
     1. Leaves with fewer lines than ``min_docs`` are done with.
     2. In a leaf, a token is fixed at its place if ``min_docs`` lines have it there, and a
        variable field otherwise; that gives each distinct line its template.  The same is
@@ -57,7 +60,7 @@ def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataF
     """
     lines = leaves(rows)
     crowded = persisted(lines.groupBy(*LEAF).count().where(F.col("count") >= min_docs).select(*LEAF))
-    held = persisted(lines.join(crowded, LEAF).select(*DOCUMENT, *LEAF, "line", *[c.alias(n) for c, n in zip(line_key("line"), LINE, strict=True)]))
+    held = persisted(lines.join(crowded, LEAF).select(*DOCUMENT, *LEAF, "line", *[c.alias(n) for c, n in zip(line_key("line", key), LINE, strict=True)]))
 
     distinct = held.groupBy(*LEAF, *LINE, "line").agg(F.count("*").alias("c"))
     tokens = persisted(distinct.select(*LEAF, *LINE, "c", F.posexplode(F.split("line", " ")).alias("pos", "token")).withColumn("token", masked(F.col("token"))))
@@ -69,7 +72,7 @@ def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataF
     template = template.withColumn("level", F.explode(F.array_distinct(F.filter(F.transform("x", lambda x: x["up"]), lambda up: up > 0))))
     template = template.where(F.size(F.filter("x", lambda x: x["up"] >= F.col("level"))) >= fixed_share * F.col("n"))
     shape = F.transform("x", lambda x: F.when(x["up"] >= F.col("level"), x["token"]).otherwise(FIELD))
-    template = persisted(template.select(*LEAF, *LINE, F.struct(*line_key(shape)).alias("template")))
+    template = persisted(template.select(*LEAF, *LINE, F.struct(*line_key(shape, key)).alias("template")))
 
     used = persisted(held.select(*LEAF, *LINE, *DOCUMENT).join(template, [*LEAF, *LINE]))
     often = persisted(used.select(*LEAF, "template", *DOCUMENT).distinct().groupBy(*LEAF, "template").count().where(F.col("count") >= min_docs).drop("count"))
@@ -77,14 +80,14 @@ def recurring_lines(rows: DataFrame, min_docs: int, fixed_share: float) -> DataF
     return gone.groupBy(*DOCUMENT).agg(F.collect_set(F.struct(*LINE)).alias("gone"))  # a document's own lines
 
 
-def with_own_text(rows: DataFrame) -> DataFrame:
+def with_own_text(rows: DataFrame, key: int) -> DataFrame:
     """(d, t, u): the documents of ``rows`` of whose word n-grams more are in no other of them than a copy may have.
 
     A document that links with another at 80 % of their n-grams can't have more than a
     fifth of its own to itself, so none of these is a near copy of another one.
     """
     words = F.filter(F.split(F.translate("text", ascii_uppercase, ascii_lowercase), r"[ \t-\r]+"), lambda w: w != "")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - NGRAM + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, NGRAM))))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - NGRAM + 1, F.lit(1))), lambda i: F.xxhash64(F.lit(key), F.slice("w", i, NGRAM))))
     each = rows.dropDuplicates(DOCUMENT).select(*DOCUMENT, words.alias("w")).where(F.size("w") > 0).select(*DOCUMENT, F.explode(grams).alias("h"))
     sizes = each.groupBy(*DOCUMENT).agg(F.count("*").alias("n"))
     single = each.groupBy("h").agg(*[F.min(c).alias(c) for c in DOCUMENT], F.count("*").alias("c")).where("c = 1")
@@ -109,21 +112,24 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, fixed_share: float = F
     counts once and is dropped each time.  Columns named n_lines or n_dropped are
     replaced, all others kept.  An empty table gives an empty one.
     """
-    docs = docs.select(*[quoted(c) for c in docs.columns if c not in ("n_lines", "n_dropped")])
+    docs, key = without(docs, ("n_lines", "n_dropped")), secrets.randbits(63)
     rest = [c for c in docs.columns if c != "text"]
-    t, u = text_key(docs)
+    t, u, repeated = text_key(docs)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"), t.alias("t"), u.alias("u"), "text", F.struct(*[quoted(c).alias(c) for c in rest]).alias("rest")
     )
-    marked = rows.join(recurring_lines(rows.select(*DOCUMENT, "text"), min_docs, fixed_share), DOCUMENT, "left")
+    single = rows.select(*DOCUMENT, "text")
+    # Rows can only be alike where ids repeat; their lines must count once.
+    single = single.dropDuplicates(DOCUMENT) if repeated else single
+    marked = rows.join(recurring_lines(single, min_docs, fixed_share, key), DOCUMENT, "left")
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains("gone", F.struct(*[c.alias(n) for c, n in zip(line_key(x), LINE, strict=True)])))
+    kept = F.filter(lines, lambda x: ~F.array_contains("gone", F.struct(*[c.alias(n) for c, n in zip(line_key(x, key), LINE, strict=True)])))
     out = marked.withColumns({"lines": F.size(lines), "kept": F.when(F.col("gone").isNotNull(), kept)}).withColumn("short", F.array_join("kept", "\n"))
     changed = F.col("kept").isNotNull()
     if spare_copies:
         light = 100 * (F.length("text") - F.length("short")) <= COPY_PERCENT * F.length("text")
         heavy = persisted(out.where(changed & ~light).select(*DOCUMENT, "text"))
-        pages = persisted(with_own_text(heavy).withColumn("page", F.lit(True)))
+        pages = persisted(with_own_text(heavy, key).withColumn("page", F.lit(True)))
         out = out.join(pages, DOCUMENT, "left")
         changed = changed & (light | F.col("page").isNotNull())
     return out.select(

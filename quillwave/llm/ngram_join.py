@@ -20,6 +20,7 @@ BLOCK = 256  #: documents of a cluster that make a row block of the product, on
 BLOCK_GRAMS = 1 << 20  #: n-grams that a row block holds, on average; a single longer text is a block
 INNER = 4096  #: n-grams of a column block
 SPAN = 1 << 40  #: numbers of blocks that a band has room for
+CLASS = ["k1", "k2", "n"]  #: what tells a class of equal sets: two hashes and the size
 
 
 @dataclass
@@ -67,8 +68,8 @@ def slack(n: Column, percent: int) -> Column:
     return F.floor(n * (100 - percent) / 100).cast("long")
 
 
-def digests(docs: DataFrame, size: int, key: int) -> DataFrame:
-    """(d, k1, k2, n, short): size and two hashes, under two keys, of every document's whole set; short: it has fewer words than an n-gram."""
+def digests(docs: DataFrame, size: int, key: int, with_text: bool = False) -> DataFrame:
+    """(d, k1, k2, n, short): size and two hashes, under two keys, of every document's whole set; short: it has fewer words than an n-gram; the text, if asked for."""
     second = (key * 0x9E3779B97F4A7C15 + 1) % (1 << 64)
 
     def run(batches):
@@ -78,9 +79,10 @@ def digests(docs: DataFrame, size: int, key: int) -> DataFrame:
                 s = ngram_sets(w, size, short_ones=True, second_key=second)
                 k1, k2 = (pa.array(summed(mixed(x), s.at).view(np.int64)) for x in (s.h, s.twin))
                 short = pa.array(np.diff(w.at) < size)
-                yield pa.RecordBatch.from_arrays([d.slice(w.first, len(s.n)), k1, k2, pa.array(s.n.astype(np.int64)), short], ["d", "k1", "k2", "n", "short"])
+                text = [batch.column("text").slice(w.first, len(s.n))] if with_text else []
+                yield pa.RecordBatch.from_arrays([d.slice(w.first, len(s.n)), k1, k2, pa.array(s.n.astype(np.int64)), short, *text], ["d", "k1", "k2", "n", "short", *["text"] * with_text])
 
-    return docs.select("d", "text").mapInArrow(run, "d long, k1 long, k2 long, n long, short boolean")
+    return docs.select("d", "text").mapInArrow(run, "d long, k1 long, k2 long, n long, short boolean" + ", text string" * with_text)
 
 
 def sampled(docs: DataFrame, size: int, share: float, key: int) -> DataFrame:
@@ -242,52 +244,22 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return out.select("cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "d", "grams")
 
 
-def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """Every document with its set size, its number of links and its component.
-
-    Words are maximal runs of bytes other than space and U+0009-000D, A-Z lower-cased;
-    a set holds the distinct runs of ``size`` words (the whole sequence, if shorter).
-    Two sets link when 100 * intersection >= ``percent`` * union.  No link is lost:
-
-    1. Equal sets are one class; its smallest id stands for it from here on.
-    2. A bound on a hash sample of n-grams, then one on all: a document of which more
-       n-grams are its own than a link may miss links with nothing.
-    3. Documents that share one of their rarest n-grams are clustered.
-    4. Each cluster's incidence matrix is multiplied with its transpose, in row blocks
-       of about ``BLOCK`` documents of similar size and column blocks of n-grams,
-       discarding block pairs and pairs that their sizes rule out.  Only a spanning star
-       of the links leaves a block.
-    5. Links and classes give the components.
+def linked_classes(rows: DataFrame, each: DataFrame, size: int, percent: int, key: int) -> DataFrame:
+    """(k1, k2, n, d, n_links, component): each class of equal sets, its smallest id, its links and the smallest id it reaches.
 
-    N-grams are compared by 64 bits of a keyed hash whose key is drawn for each run, whole
-    sets by 128 bits; a set of one n-gram, or a text shorter than one, is only ever compared
-    as a whole set where more than half must be shared.
-
-    Nulls: a null text is an empty set, linked with nothing; a null doc_id counts as the
-    lowest and comes out as null.  Rows that share an id are one document for links.
-    Repeated rows are copies of a class.  Extra columns are ignored.  An empty table
-    gives an empty result.
-
-    Returns doc_id long, n_shingles long, n_links long (other sets it links with),
-    component_id long (smallest id reached, its own included).
+    ``rows``: d (all different) and text; ``each``: their :func:`digests`.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"), "text")
-    key = new_key()
-    each = persisted(digests(rows, size, key))
-    classes = persisted(each.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("d").alias("d"), F.first("short").alias("short")))
+    classes = persisted(each.where("n > 0").groupBy(*CLASS).agg(F.min("d").alias("d"), F.first("short").alias("short")))
     # A text shorter than an n-gram links with equal ones only, and so does a set of one if more than half must be shared.
     least = 2 if percent > 50 else 1
     open_ = classes.where(~F.col("short") & (F.col("n") >= least)).select("d").distinct()
-    # An id with several rows is never ruled out: its rows' n-grams can't be told apart.
-    single = each.where("n > 0").groupBy("d").agg(F.max("n").alias("n"), F.count("*").alias("rows"))
     own = alone(sampled(rows, size, SAMPLE, key))
-    ruled_out = own.join(single, "d").where((F.col("rows") == 1) & (F.col("own") > slack(F.col("n"), percent))).select("d")
+    ruled_out = own.join(each.select("d", "n"), "d").where(F.col("own") > slack(F.col("n"), percent)).select("d")
     left = persisted(open_.join(ruled_out, "d", "left_anti"))
 
     grams = persisted(sets(rows.join(left, "d"), size, key).where(F.col("n") >= least))
-    several = grams.groupBy("d").agg(F.max("n").alias("n"), F.count("*").alias("rows"))
     own = alone(grams.select("d", F.explode("grams").alias("h")))
-    ruled_out = own.join(several, "d").where((F.col("rows") == 1) & (F.col("own") > slack(F.col("n"), percent))).select("d")
+    ruled_out = own.join(grams.select("d", "n"), "d").where(F.col("own") > slack(F.col("n"), percent)).select("d")
     grams = persisted(grams.join(ruled_out, "d", "left_anti"))
 
     posts = persisted(prefixes(grams, percent))
@@ -305,12 +277,69 @@ def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> Da
     )
     paired = block_pairs(grams.join(member.join(blocks, "cluster"), "d"), percent)
     pair = ["cluster", "low", "high"]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stars = persisted(products(paired.repartition(parts, *pair).sortWithinPartitions(*pair), percent))
     links = stars.groupBy("d").agg(F.sum("links").alias("n_links"))
     reached = components(stars, "d", "root").select(F.col("node").alias("d"), "component")
-    known = persisted(classes.join(links, "d", "left").join(reached, "d", "left").select("k1", "k2", "n", "n_links", F.coalesce("component", "d").alias("component")))
-    out = each.join(known, ["k1", "k2", "n"], "left")
+    return persisted(classes.join(links, "d", "left").join(reached, "d", "left").select("k1", "k2", "n", "d", "n_links", F.coalesce("component", "d").alias("component")))
+
+
+def joined_ids(each: DataFrame, known: DataFrame) -> DataFrame:
+    """``known`` with classes that are texts of one id in one component, and components named by their smallest id.
+
+    ``each``: (d, k1, k2, n) of every row; in ``known`` d and component number the classes.  An id of several
+    classes is a star of edges between them, so no id's rows meet in one task.
+    """
+    held = persisted(each.where("n > 0").select(F.col("d").alias("id"), *CLASS).distinct().join(known.select(*CLASS, F.col("d").alias("c"), "component"), CLASS))
+    hubs = persisted(held.groupBy("id").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last").select("id", "hub"))
+    edges = held.join(hubs, "id").select("c", "hub").unionByName(known.select(F.col("d").alias("c"), F.col("component").alias("hub"))).where("c <> hub")
+    reached = persisted(components(edges, "c", "hub").withColumnRenamed("node", "c").withColumnRenamed("component", "root"))
+    rooted_ = persisted(held.join(reached, "c", "left").select("id", F.coalesce("root", "c").alias("root")))
+    least = persisted(rooted_.groupBy("root").agg(F.min("id").alias("least")))
+    named = known.select(*CLASS, F.col("d").alias("c"), "n_links").join(reached, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    return persisted(named.join(least, "root").select(*CLASS, "n_links", F.col("least").alias("component")))
+
+
+def ngram_join(docs: DataFrame, size: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """Every document with its set size, its number of links and its component.
+
+    Words are maximal runs of bytes other than space and U+0009-000D, A-Z lower-cased;
+    a set holds the distinct runs of ``size`` words (the whole sequence, if shorter).
+    Two sets link when 100 * intersection >= ``percent`` * union.  No link is lost:
+
+    1. Equal sets are one class; its smallest id stands for it from here on.
+    2. A bound on a hash sample of n-grams, then one on all: a document of which more
+       n-grams are its own than a link may miss links with nothing.
+    3. Documents that share one of their rarest n-grams are clustered.
+    4. Each cluster's incidence matrix is multiplied with its transpose, in row blocks
+       of about ``BLOCK`` documents of similar size and column blocks of n-grams,
+       discarding block pairs and pairs that their sizes rule out.  Only a spanning star
+       of the links leaves a block.
+    5. Links and classes give the components.
+
+    N-grams are compared by 64 bits of a keyed hash whose key is drawn for each run, whole
+    sets by 128 bits; a set of one n-gram, or a text shorter than one, is only ever compared
+    as a whole set where more than half must be shared.
+
+    Nulls: a null text is an empty set, linked with nothing; a null doc_id counts as the
+    lowest and comes out as null.  Rows that share an id are told apart by their sets and
+    are in one component, but for those without a word.  Repeated rows are copies of a class.  Extra columns are ignored.  An empty table
+    gives an empty result.
+
+    Returns doc_id long, n_shingles long, n_links long (other sets it links with),
+    component_id long (smallest id reached, its own included).
+    """
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"), "text")
+    key = new_key()
+    each = persisted(digests(rows, size, key))
+    if each.groupBy("d").count().where("count > 1").head(1):
+        # Ids that repeat don't tell rows apart, so one text of each class goes on, under a number of its own.
+        texts = digests(rows, size, key, with_text=True).where("n > 0").dropDuplicates(CLASS)
+        single = persisted(texts.select(F.monotonically_increasing_id().alias("d"), *CLASS, "short", "text"))
+        known = joined_ids(each, linked_classes(single.select("d", "text"), single.drop("text"), size, percent, key))
+    else:
+        known = linked_classes(rows, each, size, percent, key).drop("d")
+    out = each.join(known, CLASS, "left")
 
     def shown(c: Column) -> Column:
         return F.when(c != LOWEST, c)

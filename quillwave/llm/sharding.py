@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import persisted, quoted
+from .shared import persisted, quoted, without
 
 CELLS = 1 << 13  #: hash cells around the ring; every virtual node stands at the start of one
 PART_ROWS = 1 << 12  #: rows of one cell that are ranked together, on average
@@ -85,7 +85,7 @@ def bounded_ring(docs: DataFrame, shards: int, key: Column, id_cols: list[str],
     """
     spark = docs.sparkSession
     nodes = ring(shards, vnodes, cells)
-    docs = docs.select(*[quoted(c) for c in docs.columns if c not in ("shard", "slot")])
+    docs = without(docs, ("shard", "slot"))
     rows = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), F.pmod(F.xxhash64(key), F.lit(cells)).cast("int").alias("cell"))
     sizes = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}  # at most `cells` rows
     parts = spark.createDataFrame([(c, max(1, min(PARTS, n // PART_ROWS))) for c, n in sizes.items()], "cell int, parts int")

@@ -87,22 +87,27 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def text_key(docs: DataFrame) -> tuple[Column, Column]:
-    """Two longs that tell rows with one doc_id apart by their text: a 128-bit digest, or zeros where no id repeats.
+def without(docs: DataFrame, names: list[str] | tuple[str, ...]) -> DataFrame:
+    """``docs`` without columns of these names, in any case, as Spark's names have none."""
+    return docs.select(*[quoted(c) for c in docs.columns if c.lower() not in names])
+
+
+def text_key(docs: DataFrame) -> tuple[Column, Column, bool]:
+    """Two longs that tell rows with one doc_id apart by their text (a 128-bit digest, or zeros where no id repeats), and whether ids repeat.
 
     Ids that are all different tell documents apart themselves; one count of the ids
     decides, and results are the same either way.
     """
     ids = docs.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d")).count()
     if not ids.where("count > 1").head(1):
-        return F.lit(0).cast("long"), F.lit(0).cast("long")
+        return F.lit(0).cast("long"), F.lit(0).cast("long"), False
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
 
     def part(a: int) -> Column:
         return F.conv(F.substring(digest, a, 15), 16, 10).cast("long")
 
     # 60 bits each, and one more to keep a null text apart from an empty one
-    return part(1), part(16) * 2 + F.col("text").isNull().cast("long")
+    return part(1), part(16) * 2 + F.col("text").isNull().cast("long"), True
 
 
 def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .bytetext import Words, new_key, text_bytes, words
-from .shared import LOWEST, persisted, quoted, text_key
+from .shared import LOWEST, persisted, quoted, text_key, without
 
 WINDOW = 20  #: words of the shortest repeat that is removed
 GRAM = 4  #: words of an anchor
@@ -45,16 +45,17 @@ def anchors(w: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
     return pos[chosen[head]], h[chosen[head]], w.spans(first, last + window), first, last - first + 1
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` as d long (the id, nulls lowest), t and u long (see ``text_key``), text and a struct of the other columns."""
-    t, u = text_key(docs)
-    return docs.select(
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` as d long (the id, nulls lowest), t and u long (see ``text_key``), text and a struct of the other columns; whether ids repeat."""
+    t, u, repeated = text_key(docs)
+    rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"),
         t.alias("t"),
         u.alias("u"),
         F.col("text"),
         F.struct(*[quoted(c).alias(c) for c in docs.columns if c != "text"]).alias("rest"),
     )
+    return rows, repeated
 
 
 def seeds(rows: DataFrame, window: int, gram: int, key: int) -> DataFrame:
@@ -170,7 +171,7 @@ def cut(texts: DataFrame, one_space: bool) -> DataFrame:
 
 
 def repeats(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(d, t, u, cuts): for each document with repeats, the ranges [a, e) of words to take out.
+    """(d, t, u, cuts): for each document with repeats, the ranges [a, e) of words to take out; ``rows`` holds each document once.
 
     1. Seeds of all texts; those whose anchor occurs more than once go on.
     2. Seeds alike in anchor and in all words around it are extended to the full span
@@ -218,9 +219,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, one
     Windows are compared by 128 bits of keyed hashes (the anchor's and all words'), with a
     key drawn for each run.
     """
-    docs = docs.select(*[quoted(c) for c in docs.columns if c not in ("n_words", "n_removed")])
-    rows = keyed(docs)
-    marked = rows.join(repeats(rows, window, gram), DOCUMENT, "left")
+    docs = without(docs, ("n_words", "n_removed"))
+    rows, repeated = keyed(docs)
+    single = rows.select(*DOCUMENT, "text")
+    # Rows can only be alike where ids repeat; each document's seeds are taken once, and its cuts hold for all of its rows.
+    single = persisted(single.dropDuplicates(DOCUMENT)) if repeated else single
+    marked = rows.join(repeats(single, window, gram), DOCUMENT, "left")
     out = cut(marked, one_space)
     order = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns]
     return out.select(*order, "n_words", "n_removed")

@@ -250,3 +250,93 @@ def test_mixing_one_document(spark):
     assert [tuple(r) for r in mixing.mix(df).collect()] in ([(1, 3, 3, 4.5, 3, 1)], [(1, 3, 3, 4.5, 6, 2)])
     empty = spark.createDataFrame([(1, None, None), (2, "", "s")], "doc_id long, text string, source string")
     assert {tuple(r) for r in mixing.mix(empty).collect()} == {(1, 0, 0, 0.0, 0, 0), (2, 0, 0, 0.0, 0, 0)}
+
+
+def test_reads_of_archives(spark, tmp_path):
+    """Reads are as many as the spans, not as the records."""
+    from quillwave.llm import warc_zip
+
+    pages = spark.range(3000).selectExpr("id page_id", "concat('http://x/', id) url", "repeat(sha2(string(id), 512), 20) html").repartition(3)
+    packages = warc_zip.archive_pages(pages, f"file://{tmp_path}")
+    spans = warc_zip.index_spans(packages).collect()
+    size = sum(n for s in spans for n in s["lengths"])
+    assert sum(len(s["lengths"]) for s in spans) == 3000 and len(spans) <= size / warc_zip.SPAN + packages.count()
+    assert warc_zip.read_packages(packages).where("record_type = 'response'").count() == 3000
+    assert list(warc_zip._spans([(10, 5), (0, 10), (20, 1)])) == [(0, [10, 5]), (20, [1])]
+
+
+def test_repeated_rows_of_one_id(spark):
+    """Thousands of rows equal in id and text are one document to each deduplication, and one node of the join."""
+    from quillwave.llm import line_templates, ngram_join, substring_dedup
+
+    rnd = random.Random(1)
+    prose = [" ".join(f"v{rnd.randrange(9000)}" for _ in range(120)) for _ in range(14)]
+    lines = [(i, f"{prose[i]}\nthis page was printed for {'abcdefghijkl'[i] * 5}") for i in range(12)]
+    docs = spark.createDataFrame(lines + [lines[0]] * 24, "doc_id long, text string")
+    assert {(r["doc_id"], r["n_dropped"]) for r in line_templates.line_dedup(docs.withColumn("N_Lines", F.lit(1))).collect()} == {(i, 1) for i in range(12)}
+
+    held = " ".join(prose[12].split()[:60])
+    many = spark.createDataFrame([(1, prose[12])] + [(None, prose[13])] * 5000 + [(2, f"{held} end of it")] * 3000 + [(None, prose[11])], "doc_id long, text string").repartition(4)
+    cuts = substring_dedup.substring_dedup(many.withColumn("N_Words", F.lit(1)))
+    got = Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in cuts.collect())
+    assert got == {(1, 120, 0): 1, (None, 120, 0): 5001, (2, 63, 60): 3000}
+    key = substring_dedup.new_key()
+    single = substring_dedup.keyed(many)[0].select("d", "t", "u", "text").dropDuplicates(["d", "t", "u"])
+    assert substring_dedup.seeds(single, 20, 4, key).count() < 500
+    assert max(len(r["cuts"]) for r in substring_dedup.repeats(single, 20, 4).collect()) < 60
+
+    near = prose[13].split()
+    near[5] = "changed"
+    more = many.unionByName(spark.createDataFrame([(7, " ".join(near)), (8, prose[11]), (9, "lone words here and there"), (None, None)], "doc_id long, text string"))
+    out = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(more).collect()}
+    assert out == {(1, 116, 1), (2, 59, 2), (None, 116, None), (7, 116, None), (8, 116, None), (9, 1, 9), (None, 0, None)}
+
+
+def test_block_pairs_do_not_grow_with_copies(spark, monkeypatch):
+    from quillwave.llm import ngram_join
+
+    sizes = []
+    products = ngram_join.products
+    monkeypatch.setattr(ngram_join, "products", lambda blocks, percent: sizes.append(blocks.count()) or products(blocks, percent))
+    rnd = random.Random(3)
+    words = [f"v{rnd.randrange(9000)}" for _ in range(150)]
+    texts = [" ".join([*words[:k], f"x{k}", *words[k:]]) for k in range(0, 150, 30)]
+    for copies in (1, 300):
+        df = spark.createDataFrame([(None, t) for t in texts for _ in range(copies)] + [(4, texts[0])], "doc_id long, text string")
+        assert {r["component_id"] for r in ngram_join.ngram_join(df).collect()} == {None}
+    assert sizes[0] == sizes[1]
+
+
+def test_many_labels(spark):
+    """450 labels are all learned, and scores are what plain sums over a text's subwords give."""
+    from quillwave.llm import language_id as li
+
+    rnd = random.Random(9)
+    letters = [chr(0x4E00 + i) for i in range(450)]
+    rows = [(i * 450 + k, " ".join(letters[k] * rnd.randrange(2, 5) + letters[k] for _ in range(30)), f"l{k}") for i in range(24) for k in range(450)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).withColumn("Score", F.lit("x"))
+    model = li.trained(df)
+    assert len(model.languages) == 450
+    out = li.language_id(df, model)
+    assert out.columns == ["doc_id", "text", "lang", "held_out", "lang_pred", "score", "rejected"]
+    right = out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right > 0.95 and out.select("lang_pred").distinct().count() == 450
+    assert len(li.trained(df, 7).languages) == 7
+
+    def score(text):
+        fold = [b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in text.encode()]
+        found = []
+        for e in range(len(fold)):
+            h = 0
+            for n in range(1, 5):
+                if e - n + 1 < 0:
+                    break
+                h = (h * 0x01000193 ^ (fold[e - n + 1] + (n << 8))) % 2**32
+                if n in li.SIZES:
+                    found.append((h * 0x9E3779B1 % 2**32) >> 17)
+        z = [(sum(float(model.logits[b][c]) for b in found) / len(found) + float(model.bias[c])) / model.temperature for c in range(450)]
+        e = [math.exp(x - max(z)) for x in z]
+        return max(e) / sum(e)
+
+    for r in out.orderBy("doc_id").limit(3).collect():
+        assert r["score"] == pytest.approx(score(r["text"]), abs=1e-5)
