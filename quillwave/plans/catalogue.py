@@ -172,7 +172,7 @@ def _trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {_RECORDINGS}, {_PARTS} SELECT file, idx, raw_start, raw_end FROM segments")
 def silence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The oracle recurses; the query folds."""
+    """The oracle recurses; the query decides silences in blocks of time."""
     return _segments(spark, sf_dir)[0]
 
 
