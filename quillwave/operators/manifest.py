@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import parent
 from ..functions.text import half_even, strip
+from ..sinks.written import written
 
 
 def parse(lines: DataFrame) -> DataFrame:
@@ -44,13 +45,18 @@ def report(rows: DataFrame) -> DataFrame:
     return rows.groupBy("status").agg(F.count("*").alias("n"))
 
 
-def _draw(seed: int, purpose: str, key: Column) -> Column:
-    return F.md5(F.concat_ws("/", F.lit(f"{seed}/{purpose}"), key.cast("string")))
+def _draw(seed: int, purpose: str, key: tuple[str, ...]) -> Column:
+    return F.md5(F.concat_ws("/", F.lit(f"{seed}/{purpose}"), *[F.col(k).cast("string") for k in key]))
 
 
 CELL_LINES = 1 << 16  #: line numbers of a folder whose rows are ranked together
 
 
+def _digits(rows: int) -> int:
+    """Hexadecimal digits of a draw that part ``rows`` rows into cells of about ``CELL_LINES``."""
+    return next(d for d in range(1, 33) if rows <= CELL_LINES << 4 * d)
+
+
 def _ranked(rows: DataFrame, name: str, cell: Column, order: list[Column]) -> DataFrame:
     """``rows`` with their rank from 1 in ``order`` within dir, ``cell`` being a coarser form of that order, and dir's size.
 
@@ -64,29 +70,38 @@ def _ranked(rows: DataFrame, name: str, cell: Column, order: list[Column]) -> Da
     return celled.withColumn(name, F.row_number().over(inner)).join(starts, ["dir", "_cell"]).withColumn(name, F.col(name) + F.col("_start")).drop("_cell", "_start")
 
 
-def references(samples: DataFrame, ratio: float = 0.4, allow_self: bool = False, seed: int = 0) -> DataFrame:
+def references(samples: DataFrame, ratio: float = 0.4, allow_self: bool = False, seed: int = 0, key: tuple[str, ...] = ("line_no",)) -> DataFrame:
     """``samples`` (line_no, audio, ...) with dir, pos (from 0 in the folder) and ref_audio.
 
     In each folder round-half-even(n * ratio) samples, drawn by a hash, get another
     sample of the folder as a reference: a uniform partner at another place, or any
-    place with ``allow_self`` or where there is but one.  The draw depends on seed and
-    line number alone, so it is the same on any cluster.  A folder's rows are ranked in
-    ranges of line numbers and of draws, so one that holds most rows is ranked by many tasks.
+    place with ``allow_self`` or where there is but one.  Samples come in the order of ``key``, which
+    tells them apart and ends with a number: (`line_no`) of one manifest, or its file and `line_no`
+    of several.  The draw depends on seed and key alone, so it is the same on any cluster.
+
+    Only keys and paths are ranked, in ranges of numbers and of draws, so a folder that
+    holds most rows is ranked by many tasks; the other columns meet the result once.
+    Rows that share a key are an error.
     """
     if not 0 <= ratio <= 1:
         raise ValueError("ratio lies between 0 and 1")
     base = samples.withColumn("dir", parent("audio"))
-    placed = _ranked(base, "pos", F.floor(F.col("line_no") / CELL_LINES), [F.col("line_no")])
-    ranked = placed.withColumn("pos", (F.col("pos") - 1).cast("long"))
-    draw = _draw(seed, "pick", F.col("line_no"))
-    placed = _ranked(ranked, "turn", F.substring(draw, 1, 3), [draw, F.col("line_no")])
-    h = F.conv(F.substring(_draw(seed, "partner", F.col("line_no")), 1, 12), 16, 10).cast("long")
+    order = [F.col(k) for k in key]
+    cell = F.struct(*order[:-1], F.floor(order[-1] / CELL_LINES).alias("_range"))
+    ranked = _ranked(base.select(*key, "dir", "audio"), "pos", cell, order)
+    ranked = written(ranked.select(*key, "dir", "audio", (F.col("pos") - 1).cast("long").alias("pos"), "size"))
+    if ranked.groupBy(*key).count().where("count > 1").head(1):
+        raise ValueError(f"samples share a {', '.join(key)}; name what tells them apart as key")
+    draw = _draw(seed, "pick", key)
+    placed = _ranked(ranked.select(*key, "dir", "pos", "size"), "turn", F.substring(draw, 1, _digits(ranked.count())), [draw, *order])
+    h = F.conv(F.substring(_draw(seed, "partner", key), 1, 12), 16, 10).cast("long")
     anyone = F.lit(allow_self) | (F.col("size") == 1)
     partner = F.when(anyone, h % F.col("size")).otherwise((F.col("pos") + 1 + h % F.greatest(F.col("size") - 1, F.lit(1))) % F.col("size"))
-    picked = placed.withColumn("want", F.when(F.col("turn") <= F.least(F.col("size"), half_even(F.col("size") * ratio)), partner))
+    picked = placed.where(F.col("turn") <= F.least(F.col("size"), half_even(F.col("size") * ratio))).select(*key, F.col("dir").alias("_d"), partner.alias("_p"))
     other = ranked.select(F.col("dir").alias("_d"), F.col("pos").alias("_p"), F.col("audio").alias("ref_audio"))
-    out = picked.join(other, (F.col("dir") == F.col("_d")) & (F.col("want") == F.col("_p")), "left")
-    return out.drop("_d", "_p", "want", "size", "turn")
+    chosen = picked.join(other, ["_d", "_p"]).select(*key, "ref_audio")
+    found = ranked.select(*key, "pos").join(chosen, [*key], "left")
+    return base.join(found, [*key]).select(*[c for c in samples.columns], "dir", "pos", "ref_audio")
 
 
 def summary(samples: DataFrame, ratio: float = 0.4) -> DataFrame:
@@ -109,17 +124,17 @@ def json_lines(samples: DataFrame) -> Column:
     return F.concat(F.lit('{"audio": '), q("audio"), F.lit(', "text": '), q("normalized"), ref, F.lit("}"))
 
 
-def ordered(samples: DataFrame, shuffle: bool = True, seed: int = 0) -> DataFrame:
-    """By folder and line, or in an order drawn from the seed; a range-partitioned sort either way."""
-    return samples.orderBy(_draw(seed, "order", F.col("line_no")), "line_no") if shuffle else samples.orderBy("dir", "line_no")
+def ordered(samples: DataFrame, shuffle: bool = True, seed: int = 0, key: tuple[str, ...] = ("line_no",)) -> DataFrame:
+    """By folder and key, or in an order drawn from the seed; a range-partitioned sort either way."""
+    return samples.orderBy(_draw(seed, "order", key), *key) if shuffle else samples.orderBy("dir", *key)
 
 
-def places(samples: DataFrame, seed: int = 0) -> DataFrame:
+def places(samples: DataFrame, seed: int = 0, key: tuple[str, ...] = ("line_no",)) -> DataFrame:
     """``samples`` with place long: their numbers from 1 in the shuffled order of ``ordered``, for sinks that keep no order.
 
-    Ranked in ranges of the draw, so no task sorts all rows.
+    Keys alone are ranked, in ranges of the draw, so no task sorts all rows; they must be unique.
     """
-    draw = _draw(seed, "order", F.col("line_no"))
-    keyed = samples.select(F.lit("").alias("dir"), "line_no", F.struct(*samples.columns).alias("_row"))
-    ranked = _ranked(keyed, "place", F.substring(draw, 1, 3), [draw, F.col("line_no")])
-    return ranked.select("_row.*", F.col("place").cast("long").alias("place"))
+    draw = _draw(seed, "order", key)
+    keyed = written(samples.select(F.lit("").alias("dir"), *key))
+    ranked = _ranked(keyed, "place", F.substring(draw, 1, _digits(keyed.count())), [draw, *[F.col(k) for k in key]])
+    return samples.join(ranked.select(*key, F.col("place").cast("long").alias("place")), [*key])

@@ -232,6 +232,20 @@ def manifest_one_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _referred(spark, sf_dir, one_folder=True).select("line_no", "audio", "dir", "pos", "ref_audio")
 
 
+_TWO = _MANIFEST
+for _purpose in ("pick", "partner"):
+    _TWO = _TWO.replace(f"'7/{_purpose}/' || line_no", f"'7/{_purpose}/m' || line_no % 2 || '/' || line_no // 2")
+_TWO = _TWO.replace("PARTITION BY dir ORDER BY line_no", "PARTITION BY dir ORDER BY line_no % 2, line_no // 2").replace("line_no // 2), line_no)", "line_no // 2), line_no % 2, line_no // 2)")
+
+
+@query(f"WITH {_TWO} SELECT 'm' || line_no % 2 AS manifest, line_no // 2 AS line_no, audio, dir, pos, ref_audio FROM referred")
+def two_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References across two manifests whose lines have the same numbers and whose clips share folders."""
+    rows = _resolved(spark, sf_dir).where("status = 'ok'")
+    rows = rows.select(F.concat(F.lit("m"), (F.col("line_no") % 2).cast("string")).alias("manifest"), F.floor(F.col("line_no") / 2).alias("line_no"), "audio")
+    return manifest.references(rows, ratio=0.4, seed=7, key=("manifest", "line_no")).select("manifest", "line_no", "audio", "dir", "pos", "ref_audio")
+
+
 @query(
     f"""WITH {_MANIFEST} SELECT count(*) AS total, count(DISTINCT dir) AS folders, count(ref_audio) AS refs, CASE WHEN count(*) > 0 THEN 100.0::DOUBLE * count(ref_audio) / count(*) ELSE 0 END AS actual_pct,
     40.0::DOUBLE AS target_pct FROM referred"""

@@ -133,6 +133,22 @@ def test_references(spark, ratio):
         manifest.references(spark.createDataFrame(rows, "line_no long, audio string, normalized string"), 1.5)
 
 
+def test_references_of_two_manifests(spark):
+    """Equal line numbers of two manifests draw apart; without the manifest in the key they are an error."""
+    rows = [(m, i, f"wavs/{m}{i}.wav", "t" * i) for m in "ab" for i in range(500)]
+    df = spark.createDataFrame(rows, "manifest string, line_no long, audio string, normalized string")
+    out = manifest.references(df, 0.4, seed=1, key=("manifest", "line_no")).collect()
+    picked = {m: {r["line_no"] for r in out if r["manifest"] == m and r["ref_audio"]} for m in "ab"}
+    assert len(out) == 1000 and sum(map(len, picked.values())) == 400 and 40 < len(picked["a"] & picked["b"]) < 120
+    assert sorted(r["pos"] for r in out) == list(range(1000)) and all(r["ref_audio"] != r["audio"] for r in out)
+    assert [r["pos"] for r in out if r["manifest"] == "b" and r["line_no"] == 3] == [503]
+    with pytest.raises(ValueError, match="share a line_no"):
+        manifest.references(df, 0.4)
+    assert manifest.references(df.limit(0), 0.4).count() == 0
+    places = [r["place"] for r in manifest.places(df, 4, ("manifest", "line_no")).collect()]
+    assert sorted(places) == list(range(1, 1001)) and manifest._digits(10**9) == 4
+
+
 def test_rename_plan(spark):
     names = ["a b.txt", "a  b.txt", "a_b.txt", "a_b_1.txt", "'.txt", " c.txt", "c.txt", "d.txt"]
     df = spark.createDataFrame([(f"x/{n}", i) for i, n in enumerate(names + ["a b.txt"])], "path string, pos long")
