@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,9 +34,10 @@ def located(spark: SparkSession, folder: str) -> str:
 
 
 def store_of(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a URI and the path in it."""
-    store, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
-    return store, path.rstrip("/")
+    """The file system of a path with a scheme, as Spark writes it (blanks and all), and the place in it."""
+    scheme, authority, path = re.fullmatch(r"([^:/]+):(?://([^/]*))?(.*)", uri, re.S).groups()
+    store, place = fs.FileSystem.from_uri(f"{scheme}://{authority or ''}{quote(path)}")
+    return store, place.rstrip("/")
 
 
 def _safe(name: str) -> str:

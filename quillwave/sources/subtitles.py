@@ -14,7 +14,9 @@ CUE = ["file", "cue_no", "start", "end", "text"]
 
 def whole_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, value): each file's text, line ends as line feeds, no byte-order mark."""
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    # The path comes with its blanks and other characters encoded, plus signs as they are.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    raw = spark.read.text(paths, wholetext=True).select(path.alias("file"), "value")
     return raw.withColumn("value", F.regexp_replace(F.regexp_replace("value", "\\A\ufeff", ""), "\r\n?", "\n"))
 
 
