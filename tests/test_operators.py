@@ -193,11 +193,30 @@ def test_rename_plan_of_many(spark):
     df = spark.createDataFrame([(f"x/{n}", i) for i, n in enumerate(names)] + [(None, 1)], "path string, pos long")
     plan = {r["old"]: r["new"] for r in naming.rename_plan(df, df.select("path").distinct()).collect()}
     assert plan == walked(names)
-    crowd = spark.range(20_000).selectExpr("concat('y/', repeat(' ', int(id % 100)), 'n', repeat(' ', int(id / 100)), '.txt') path", "id pos")
-    out = naming.rename_plan(crowd, crowd.select("path").distinct())
-    assert out.select("new").distinct().count() == 20_000
-    counts = {r["status"]: r["n"] for r in naming.rename_counts(out).collect()}
-    assert counts == {"renamed": 19_999, "unchanged": 1}
+    # Targets that are counters of others in another folder of names without the digits' stems.
+    few = ["a b.txt", "a  b.txt", "a_b 1.txt", "a_b_2.txt", " a_b_1.txt", "a.b", "' a.b'", "x y.", " x y.", "' '.txt", "__2.txt", "'.txt"]
+    df = spark.createDataFrame([(f"z/{n}", i) for i, n in enumerate(few)], "path string, pos long")
+    plan = {r["old"]: r["new"] for r in naming.rename_plan(df, df.select("path").distinct()).collect()}
+    assert plan == {
+        "a b.txt": "a_b.txt", "a  b.txt": "a_b_1.txt", "a_b 1.txt": "a_b_1_1.txt", "a_b_2.txt": "a_b_2.txt", " a_b_1.txt": "a_b_1_2.txt", "a.b": "a.b", "' a.b'": "a.b'",
+        "x y.": "x_y.", " x y.": "x_y._1", "' '.txt": "_.txt", "__2.txt": "2.txt", "'.txt": "__1.txt",
+    }
+
+
+@pytest.mark.parametrize("size", [None, 64])
+def test_rename_plan_of_one_name(spark, monkeypatch, size):
+    """100,000 names of one folder that all clean to the same, with counters taken here and there, in ranges that many tasks order."""
+    monkeypatch.setattr(naming, "RANGE", size or naming.RANGE)
+    n = 4000 if size else 100_000
+    crowd = spark.range(n).selectExpr("concat('y/', translate(lpad(bin(id), 17, '0'), '01', ' \\''), '.txt') path", "id * 7 pos")
+    kept = [f"__{k}.txt" for k in [1, 2, 3, 7, 500, 501, 502, 3999, 4001, 90_000, 10**12]] + ["__04.txt", "__0.txt", "_.txt"]
+    there = crowd.select("path").unionByName(spark.createDataFrame([(f"y/{k}",) for k in kept], "path string"))
+    plan = naming.rename_plan(crowd, there).cache()
+    out = {r["pos"]: r["new"] for r in plan.join(crowd.selectExpr("substring(path, 3) old", "pos"), "old").collect()}
+    free = (f"__{k}.txt" for k in range(1, n + 20) if f"__{k}.txt" not in kept)
+    assert [out[7 * i] for i in range(n)] == [next(free) for _ in range(n)]
+    counts = {r["status"]: r["n"] for r in naming.rename_counts(plan).collect()}
+    assert counts == {"renamed": n}
 
 
 def test_renames_carried_out(spark, tmp_path):
