@@ -53,6 +53,17 @@ def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(paths.basename("path").alias("name"), place.alias("place"))
 
 
+@query(
+    """WITH n AS (SELECT DISTINCT regexp_replace(url, '^https?://', '/') || '.html' AS path FROM pages)
+    SELECT path, CASE WHEN regexp_matches(path, '^/[^/]*[02468][.][^/]*/(?:[^/]+/)*[^/]*[.]html$') THEN 0 WHEN regexp_matches(path, '^/[^/]*/[^/]*[.]html$') THEN 1 ELSE 2 END AS nth FROM n
+    WHERE regexp_matches(path, '^/[^/]*[02468][.][^/]*/(?:[^/]+/)*[^/]*[.]html$|^/[^/]*/[^/]*[.]html$|^/(?:[^/]+/)*[^/]*[a-m][.]html$')"""
+)
+def matched_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of pages' addresses, matched with three globs in one pass; each path with the first that names it."""
+    urls = inputs.table(spark, sf_dir, "pages").select(F.concat(F.regexp_replace("url", "^https?://", "/"), F.lit(".html")).alias("path"))
+    return listing.matched(urls, ["/*[02468].*/**/*.html", "/*/*.html", "/**/*[a-m].html"])
+
+
 @query(
     """WITH n AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path FROM pages)
     SELECT page_id, path, CASE WHEN page_id % 3 = 0 THEN '.html' ELSE '.HTM' END AS ending FROM n WHERE page_id % 3 < 2 AND NOT suffix(path, '/')"""

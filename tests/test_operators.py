@@ -268,7 +268,7 @@ def test_edit_script():
     assert newlines._edits(long.split(" "), long.replace("w500 ", "").split(" "))[1] == ("replace", ["w500"], [])
 
 
-def test_globs(spark, tmp_path):
+def test_globs(spark, tmp_path, monkeypatch):
     for n in ("a/x.wav", "a/b/y.wav", "a/b/c/z.wav", "a/b/c/n.txt", "x1.wav"):
         (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / n).write_text("1")
@@ -279,6 +279,16 @@ def test_globs(spark, tmp_path):
         assert names(listing.expand(spark, [f"{tmp_path}/no*.wav", f"{tmp_path}/**/none"])) == []
     assert [r["path"] for r in listing.expand(spark, [f"{tmp_path}/no*.wav", "b.wav", "b.wav"], literal=True).orderBy("pos").collect()] == [f"{tmp_path}/no*.wav", "b.wav"]
     assert listing.expand(spark, []).count() == 0
+    (tmp_path / "many").mkdir()
+    for i in range(300):
+        (tmp_path / f"many/{i:03}.txt").write_text("1")
+    asked = [f"{tmp_path}/many/{i:05}.txt" for i in range(5000)] + [f"{tmp_path}/many/{i:03}.txt" for i in range(299, -1, -1)] + [f"file://{tmp_path}/many/29?.txt", f"{tmp_path}/a/b/*.wav", f"{tmp_path}/*/b/**/n.txt"]
+    with pytest.warns(UserWarning, match="and 4990 more"):
+        assert names(listing.expand(spark, asked)) == [f"{i:03}.txt" for i in range(299, -1, -1)] + ["y.wav", "n.txt"]
+    monkeypatch.setattr(listing, "_opens", lambda path: False)  # a store that only Spark reads
+    assert names(listing.expand(spark, [f"file:{tmp_path}/many/29?.txt", f"file:{tmp_path}/x1.wav", f"file:{tmp_path}/**/y.wav"])) == [*(f"29{i}.txt" for i in range(10)), "x1.wav", "y.wav"]
+    one = spark.createDataFrame([("/d/x.wav",), ("/d/e/x.wav",), ("/d/x.txt",), (None,)], "path string")
+    assert {tuple(r) for r in listing.matched(one, ["/d/*", "/**/x.wav"]).collect()} == {("/d/x.wav", 0), ("/d/x.txt", 0), ("/d/e/x.wav", 1)}
 
 
 def test_backends(spark, tmp_path):
