@@ -92,8 +92,9 @@ def rounded(rates: DataFrame, most: int) -> DataFrame:
 
     ``rates``: (none, source, size, n, rate), a row for each size of a source.  From the
     largest size to the smallest, what is over or missing is carried to the next, so a
-    source's words end within about half of its smallest document.  A source's sizes are read in order
-    and none is held; there are as many as different sizes, whatever the number of documents.
+    source's words end within about half of its smallest documents.  Copies stay between none and
+    ``most`` of each document.  A source's sizes are read in order and none is held; there are
+    as many as different sizes, whatever the number of documents.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +104,11 @@ def rounded(rates: DataFrame, most: int) -> DataFrame:
             for none, source, size, n, rate in zip(*(batch.column(c).to_pylist() for c in ("none", "source", "size", "n", "rate")), strict=True):
                 if (none, source) != key:
                     key, over = (none, source), 0.0
-                whole = min(int(rate), most)
-                room = n if whole < most else 0
-                want = n * (rate - whole) + over / size
-                extra = min(max(round(want), 0), room)
-                over = (want - extra) * size
-                base.append(whole)
-                more.append(extra)
+                want = n * rate + over / size
+                copies = min(max(round(want), 0), most * n)
+                over = (want - copies) * size
+                base.append(copies // n)
+                more.append(copies % n)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("none", "source", "size")), pa.array(base, pa.int64()), pa.array(more, pa.int64())], ["none", "source", "size", "base", "more"])
 
     placed = rates.repartition("none", "source").sortWithinPartitions("none", "source", F.desc("size"))

@@ -200,11 +200,9 @@ def mixed(rows, percent, weights, most):
         rates = f(high) if target[s] < most * words[s] * (1 - 1e-12) else {n: most for n in sizes[s] if n}
         over = 0.0
         for n in sorted(rates, reverse=True):
-            base = int(rates[n] + 1e-12)
-            want = sizes[s][n] * (rates[n] - base) + over / n
-            extra = min(max(round(want), 0), sizes[s][n] if base < most else 0)
-            over = (want - extra) * n
-            copies[s, n] = base * sizes[s][n] + extra
+            want = sizes[s][n] * rates[n] + over / n
+            copies[s, n] = min(max(round(want), 0), most * sizes[s][n])
+            over = (want - copies[s, n]) * n
     return target, copies
 
 
