@@ -23,7 +23,7 @@ SAMPLE_PER_LANGUAGE = 800  #: training documents of a language at most
 SAMPLE = 16_000  #: training documents of all languages at most
 REJECT_SHARE = 0.001  #: share of the calibration documents that may be rejected
 FAMILIAR_SHARE = 0.1  #: share of a language's training documents that a familiar subword is in
-CALIBRATION = 20  #: calibration documents at which the limit for unfamiliar texts is half as loose as with none
+CALIBRATION = 100  #: calibration documents up to which no text is too unfamiliar; with more the limit rises to theirs
 UNDETERMINED = "und"
 
 # ASCII letters in lower case, other ASCII as one blank, bytes of longer characters as they are.
@@ -119,7 +119,7 @@ def train(counted: list[tuple[np.ndarray, np.ndarray]], languages: list[str], ep
     For that, a text's share of familiar subwords is held against the calibration texts'
     shares, of which ``REJECT_SHARE`` at most may be below the limit, too.  A few documents
     say little about the smallest share to expect, so the limit lies below theirs by a part
-    that shrinks as their number grows; without any there is no limit.
+    that shrinks as their number grows: the whole of it up to ``CALIBRATION`` of them, then as one over their number.
     """
     known = sorted(set(languages))
     y = np.array([known.index(x) for x in languages])
@@ -154,7 +154,7 @@ def train(counted: list[tuple[np.ndarray, np.ndarray]], languages: list[str], ep
         model.familiar = (seen >= np.maximum(1, FAMILIAR_SHARE * np.bincount(y[fit], minlength=len(known)))).any(axis=1)
         shares = np.sort([bags[i][1] @ model.familiar[bags[i][0]] if len(bags[i][0]) else 1.0 for i in held])
         lowest = float(shares[int(len(shares) * REJECT_SHARE)])
-        loose = max(float(shares.mean()) - lowest, lowest / 2) * CALIBRATION / (CALIBRATION + len(shares))
+        loose = lowest * min(1.0, CALIBRATION / len(shares))
         model.least_familiar = lowest - loose - 1e-5  # for the rounding of sums
     if len(held) and len(known) > 1:
         z = np.array([bags[i][1] @ model.logits[bags[i][0]] + bias for i in held])
