@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from bisect import bisect_left, insort
 from collections.abc import Callable
@@ -15,7 +16,7 @@ from ..sinks.written import written
 
 BLOCK_FRAMES = 60_000  #: frames of a recording that one task looks through at a time, at least
 BLOCK_REACHES = 256  #: a block of silences is so many times as long as a cut's influence reaches
-BIN_MS = 30_000  #: width of the bins in which edges of segments meet silences
+BIN_MS = 30_000  #: least width of the bins in which edges of segments meet silences
 
 
 def auto_threshold(frames: DataFrame, full_scale: float = 32768.0, below: float = 16.0) -> DataFrame:
@@ -148,14 +149,16 @@ def split(files: DataFrame, silences: DataFrame, min_len: int = 3000, max_len: i
     return placed.select("file", (F.col("before") + F.col("i")).cast("long").alias("idx"), F.col("at").alias("raw_start"), F.coalesce("next", "next_first", "total").alias("raw_end"))
 
 
-def edge_pairs(segments: DataFrame, silences: DataFrame, width: int = BIN_MS) -> DataFrame:
+def edge_pairs(segments: DataFrame, silences: DataFrame, width: int | None = None) -> DataFrame:
     """(file, idx, raw_start, raw_end, at_start, s, e): each edge of a segment with the silence that it lies in, if any.
 
     A start lies in a silence from its first to before its last millisecond, an end from
     after the first to the last.  Both sides meet in bins of ``width`` ms of a file: an edge is in
     one bin, a silence in all that it touches, so they are compared with their neighbours
-    alone and each pair is found once.
+    alone and each pair is found once.  Bins are ``BIN_MS`` wide or, if that is more, as wide as
+    silences are long on average, so these are in two bins on average at most.
     """
+    width = width or max(BIN_MS, math.ceil(silences.agg(F.avg(F.col("e") - F.col("s"))).first()[0] or 0))
     edge = F.explode(F.array(*[F.struct(F.lit(start).alias("at_start"), p.cast("long").alias("p")) for start, p in ((True, F.col("raw_start")), (False, F.col("raw_end") - 1))]))
     points = segments.select("file", "idx", "raw_start", "raw_end", edge.alias("x")).select("file", "idx", "raw_start", "raw_end", "x.*").withColumn("bin", F.floor(F.col("p") / width))
     bins = F.explode(F.sequence(F.floor(F.col("s") / width), F.floor((F.col("e") - 1) / width)))
@@ -163,7 +166,7 @@ def edge_pairs(segments: DataFrame, silences: DataFrame, width: int = BIN_MS) ->
     return points.join(spread, ["file", "bin"]).where((F.col("s") <= F.col("p")) & (F.col("p") < F.col("e"))).drop("bin", "p")
 
 
-def trim(segments: DataFrame, silences: DataFrame, files: DataFrame, keep: int = 300, width: int = BIN_MS) -> DataFrame:
+def trim(segments: DataFrame, silences: DataFrame, files: DataFrame, keep: int = 300, width: int | None = None) -> DataFrame:
     """``segments`` with export_start and export_end, so that ``keep`` ms of silence stay at either edge.
 
     A segment that begins or ends inside a silence that reaches no farther than its other
