@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ class SplitOptions:
     model: str | None = None  #: of a recogniser; None: no transcripts
     backend: str = "auto"
     language: str | None = None
+    recognition: transcribe.Recognition = field(default_factory=transcribe.Recognition)
 
 
 def full_scale(width: Column) -> Column:
@@ -87,7 +88,7 @@ def split_recordings(recordings: DataFrame, out: str | None, options: SplitOptio
         named = clips.join(segments.select("file", "idx", F.concat(folder_of("file"), F.lit("/"), "name").alias("name")), ["file", "idx"])
         file_sinks.write_files(named, out)
         if options.model:
-            heard = transcribe.transcribe(clips, options.model, options.backend, options.language)
+            heard = transcribe.transcribe(clips, options.model, options.backend, options.language, options.recognition)
             spoken = written(heard.select("file", "idx", F.coalesce("text", F.lit("")).alias("text"), "error"))
         if options.srt:
             prefix = stem(basename("file")) if options.prefix is None else F.lit(options.prefix)

@@ -123,13 +123,8 @@ def transcribed_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("file", "idx", "role").join(heard, ["file", "idx"])
 
 
-@query(
-    """WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS ms, CAST(floor(value) AS BIGINT) AS v FROM events)
-    SELECT 'user' || user_id AS file, CAST(1 AS BIGINT) AS idx, repeat('000000', 10) || string_agg(printf('00%02X%02X', v & 255, v >> 8), '' ORDER BY ms) FILTER (ms >= 10 AND ms < 30) || repeat('000000', 15) AS samples
-    FROM f GROUP BY user_id"""
-)
-def clip_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stretch of each recording cut out, padded at both ends and widened from 16 to 24 bits; its samples in hexadecimal."""
+def _wavs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, content): each user's values as the samples of a recording, five a ms."""
     order = F.array_sort(F.collect_list(F.struct("ms", F.col("ss").cast("long").alias("v"))))  # a recording's own
     two = lambda x: F.format_string("%02X%02X", x.bitwiseAND(F.lit(255)), F.shiftright(x, 8))
     four = lambda n: F.format_string("%02X%02X%02X%02X", *[F.shiftright(n, 8 * i).bitwiseAND(F.lit(255)) for i in range(4)])
@@ -137,7 +132,26 @@ def clip_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = (F.length("data") / 2).cast("long")
     # The head of a WAV file of one channel, 5000 samples a second, 16 bits.
     head = F.concat(F.lit("52494646"), four(size + 36), F.lit("57415645666D7420100000000100010088130000102700000200100064617461"), four(size))
-    wavs = rows.select("file", F.unhex(F.concat(head, "data")).alias("content"))
+    return rows.select("file", F.unhex(F.concat(head, "data")).alias("content"))
+
+
+@query("SELECT 'user' || user_id AS file, string_agg(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR), ' ' ORDER BY ts, event_id) AS text FROM events GROUP BY user_id")
+def transcribed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings heard in windows that overlap and stitched again: what hearing them whole gives."""
+    wavs = _wavs(spark, sf_dir)
+    totals = wavs.select("file", F.ceil((F.length("content") - 44) / 10).alias("total"))
+    clips = audio.cut_clips(wavs, transcribe.windows(totals, window=8, overlap=2))
+    return transcribe.stitched(transcribe.transcribe(clips, "none", "levels").where("error is null"), window=8, overlap=2)
+
+
+@query(
+    """WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS ms, CAST(floor(value) AS BIGINT) AS v FROM events)
+    SELECT 'user' || user_id AS file, CAST(1 AS BIGINT) AS idx, repeat('000000', 10) || string_agg(printf('00%02X%02X', v & 255, v >> 8), '' ORDER BY ms) FILTER (ms >= 10 AND ms < 30) || repeat('000000', 15) AS samples
+    FROM f GROUP BY user_id"""
+)
+def clip_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stretch of each recording cut out, padded at both ends and widened from 16 to 24 bits; its samples in hexadecimal."""
+    wavs = _wavs(spark, sf_dir)
     spans = wavs.selectExpr("file", "1L idx", "2L start", "6L end", "2L pad_lead", "3L pad_tail")
     return audio.cut_clips(wavs, spans, bits=24).select("file", "idx", F.hex(F.expr("substring(content, 45)")).alias("samples"))
 
@@ -166,3 +180,20 @@ def newline_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.lit("texts/conv"), "conv_id", F.lit("."), "turn", F.lit(".txt"))
     pairs = rows.select("conv_id", "turn", file_sinks.newline_name(path).alias("name"), original.alias("original"), F.concat(F.lit("Preface\nword "), "text").alias("transcribed"))
     return newlines.carry_breaks(pairs, mark=True).select("conv_id", "turn", "name", "text")
+
+
+@query(
+    """WITH t AS (SELECT conv_id, turn, regexp_replace(replace(text, chr(10), ' '), '^[^ ]+', 'turn' || turn) AS line FROM conversations WHERE turn IS NOT NULL AND text IS NOT NULL)
+    SELECT conv_id, string_agg(line, ' ' || chr(10) ORDER BY turn, line) AS text FROM t GROUP BY conv_id"""
+)
+def newline_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations broken as their transcripts are, turn by turn, where a transcript has a word more or less in two of three turns; compared in pieces."""
+    told = inputs.table(spark, sf_dir, "conversations").where("turn is not null and text is not null")
+    line = F.regexp_replace(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("^[^ ]+"), F.concat(F.lit("turn"), "turn"))
+    kind = F.length(line) % 3
+    heard = F.when(kind == 1, F.regexp_replace(line, "^([^ ]+ [^ ]+ )", "$1zq ")).when(kind == 2, F.regexp_replace(line, "^([^ ]+ [^ ]+ )[^ ]+ ", "$1")).otherwise(line)
+    turns = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"), heard.alias("heard"))))  # a conversation's own
+    pairs = told.groupBy("conv_id").agg(turns.alias("turns")).select(
+        "conv_id", F.array_join("turns.line", " ").alias("original"), F.array_join("turns.heard", "\n").alias("transcribed")
+    )
+    return newlines.carry_breaks(pairs, spread=True, words=60).select("conv_id", "text")

@@ -5,8 +5,10 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import wave
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -268,6 +270,103 @@ def test_edit_script():
     assert newlines._edits(long.split(" "), long.replace("w500 ", "").split(" "))[1] == ("replace", ["w500"], [])
 
 
+def test_shortest_edits():
+    """Against the longest common subsequence; with a small bound, still edits that turn one into the other."""
+    rnd = random.Random(9)
+    for _ in range(300):
+        a, b = ("".join(rnd.choice("abc") for _ in range(rnd.randrange(0, 25))) for _ in range(2))
+        lengths = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for n, y in enumerate(b):
+                row.append(lengths[n] + 1 if x == y else max(lengths[n + 1], row[n]))
+            lengths = row
+        for cost in (256, 1, 3):
+            i = k = same = 0
+            for p, q, u, v in [*newlines._myers(a, b, 0, len(a), 0, len(b), cost), (len(a), len(a), len(b), len(b))]:
+                assert a[i:p] == b[k:u]
+                i, k, same = q, v, same + p - i
+            assert cost < 256 or same == lengths[-1]
+
+
+def test_diff_memory():
+    """Texts of few words, none of them unique, within set memory."""
+    rnd = random.Random(2)
+    a = [rnd.choice("pqrst") for _ in range(40_000)]
+    b = [x for x in a if rnd.random() > 0.02]
+    tracemalloc.start()
+    hunks = newlines._myers(a, b, 0, len(a), 0, len(b))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000 and sum(q - p for p, q, _, _ in hunks) < 2 * (len(a) - len(b))
+
+
+def test_spread_newlines(spark):
+    """A book in pieces gives what the whole gives, copies and nulls included; of few words, where several edits are shortest, the same words."""
+    rnd = random.Random(3)
+
+    def made(vocabulary):
+        words = [f"w{rnd.randrange(vocabulary)}" for _ in range(6000)]
+        return " ".join(words), "".join(w + ("\n" if i % 9 == 8 else " ") for i, w in enumerate(words) if i % 50)
+
+    book, few = made(1500), made(7)
+    assert len(newlines.parted(*book, 500)) > 5 and all("".join(x) == y for x, y in zip(zip(*newlines.parted(*book, 500)), book))
+    assert newlines.parted("a a a " * 400, "a a b " * 300, 500) == [("a a a " * 400, "a a b " * 300)]
+    rows = [(1, *book), (2, *book), (3, None, "a"), (4, "a", None), (5, "", ""), (6, "one two", "one\ntwo"), (7, *book), (8, *few)]
+    df = spark.createDataFrame(rows, "id int, original string, transcribed string")
+    spread = {r["id"]: r["text"] for r in newlines.carry_breaks(df, spread=True, words=500).collect()}
+    plain = {r["id"]: r["text"] for r in newlines.carry_breaks(df).collect()}
+    assert [spread.pop(8).split(), plain.pop(8).split()] == [few[0].split()] * 2
+    assert spread == plain and len(spread) == 7 and spread[3] is None and spread[6] == "one \ntwo"
+    assert newlines.carry_breaks(df.where("id > 9"), spread=True).collect() == []
+
+
+def test_batches_and_seams(spark, tmp_path, monkeypatch):
+    sizes = []
+
+    def load(model, how):
+        def recognise(clips, language):
+            sizes.append([len(c) for c in clips])
+            if b"bad" in clips:
+                raise ValueError("bad clip")
+            return [f"{language} {how.beams} {c.decode()}" for c in clips]
+
+        return recognise
+
+    monkeypatch.setitem(transcribe.BACKENDS, "here", load)
+    heard = transcribe._heard(load("m", transcribe.Recognition()), [b"ccc", b"a", b"bad", b"bbbb", b""], "en", 2)
+    assert heard == [("en 1 ccc", None), ("en 1 a", None), (None, "bad clip"), ("en 1 bbbb", None), ("en 1 ", None)]
+    assert [s for s in sizes if len(s) > 1] == [[3, 3], [0, 1]]
+    with pytest.raises(ValueError):
+        transcribe.transcribe(spark.createDataFrame([], "file string, idx long, content binary"), "m", how=transcribe.Recognition(batch=0))
+    with pytest.raises(ValueError):
+        transcribe.windows(spark.createDataFrame([], "file string, total long"), 10, 10)
+    (tmp_path / "unknown").mkdir()
+    with pytest.warns(UserWarning, match="neither"):
+        assert transcribe.backend_of(str(tmp_path / "unknown")) == "transformers"
+
+    assert transcribe.seam("a b c d e f", "d e f g h i", 0.3) == (9, 4)
+    assert transcribe.seam("one two", "three four", 0.5) == (7, 0) and transcribe.seam("", "a", 0.5) == (0, 0)
+    parts = [("f", 0, "We saw the quick bro"), ("f", 1, "saw The quick brown fox jump"), ("f", 2, "brown fox jumps over"), ("g", 0, None), ("g", 1, "x"), ("z", 0, "今天天气"), ("z", 1, "天气很好"), ("e", 0, "")]
+    out = transcribe.stitched(spark.createDataFrame(parts, "file string, idx long, text string"), 10, 5)
+    assert {r["file"]: r["text"] for r in out.collect()} == {"f": "We saw the quick brown fox jumps over", "g": "x", "z": "今天天气很好", "e": ""}
+
+
+def test_recordings_in_windows(spark, tmp_path):
+    """Each sample is read out: a recording in windows must read as the whole does."""
+    rnd = np.random.default_rng(5)
+    long, short = rnd.integers(-3000, 3000, 4321), rnd.integers(-9, 9, 30)
+    (tmp_path / "long.wav").write_bytes(audio._packed(long[:, None], 2, 1, 1000))
+    (tmp_path / "short.wav").write_bytes(audio._packed(short[:, None], 2, 1, 1000))
+    (tmp_path / "broken.wav").write_bytes(b"RIFF")
+    heads = audio.wav_heads(audio.list_wavs(spark, str(tmp_path)))
+    out = {r["file"].rsplit("/", 1)[1]: r for r in transcribe.transcribe_recordings(heads, "m", "levels", window=300, overlap=50).collect()}
+    assert {n: r["text"] for n, r in out.items()} == {"long.wav": " ".join(map(str, long)), "short.wav": " ".join(map(str, short))}
+    assert {r["failed"] for r in out.values()} == {0}
+    spans = transcribe.windows(spark.createDataFrame([("f", 0), ("g", 300), ("h", 301), ("i", None)], "file string, total long"), 300, 50).collect()
+    assert sorted((s["file"], s["start"], s["end"]) for s in spans if s["file"] != "i") == [("f", 0, 0), ("g", 0, 300), ("h", 0, 300), ("h", 250, 301)]
+
+
 def test_globs(spark, tmp_path, monkeypatch):
     for n in ("a/x.wav", "a/b/y.wav", "a/b/c/z.wav", "a/b/c/n.txt", "x1.wav"):
         (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
