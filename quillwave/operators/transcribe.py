@@ -219,24 +219,30 @@ def seam(before: str, after: str, share: float) -> tuple[int, int]:
 def stitched(parts: DataFrame, window: int = WINDOW_MS, overlap: int = OVERLAP_MS) -> DataFrame:
     """(file, text) of the texts (file, idx, text) of a recording's windows, what two neighbours both heard told once.
 
-    Seams are found by neighbours, wherever they are in a recording; a window without text (null, too) has none.  Text
-    that repeats itself over a seam may lose a repetition.
+    Each window is sent to the seams before and behind it, and what the seams leave of it put
+    together: seams are found wherever they are in a recording, and ``parts`` is read once.  A window without
+    text (null, too) has none; of several rows of one window the greatest text counts.  Text that repeats itself over a seam may
+    lose a repetition.
     """
     share = overlap / window
 
     @F.pandas_udf(SEAM)
     def cut(before: pd.Series, after: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([seam(a, b, share) for a, b in zip(before, after, strict=True)], columns=["ends", "begins"])
-
-    told = parts.select("file", "idx", F.coalesce("text", F.lit("")).alias("text"))
-    later = told.select("file", (F.col("idx") - 1).alias("idx"), F.col("text").alias("after"))
-    seams = told.join(later, ["file", "idx"]).select("file", "idx", cut("text", "after").alias("cut"))
-    front = seams.select("file", (F.col("idx") + 1).alias("idx"), F.col("cut.begins").alias("begins"))
-    whole = told.join(seams.select("file", "idx", F.col("cut.ends").alias("ends")), ["file", "idx"], "left").join(front, ["file", "idx"], "left")
+        return pd.DataFrame([(None, None) if a is None or b is None else seam(a, b, share) for a, b in zip(before, after, strict=True)], columns=["ends", "begins"])
+
+    none = lambda kind: F.lit(None).cast(kind)
+    here = lambda *columns: F.struct(*[c.alias(n) for c, n in columns])
+    idx, text = F.col("idx").cast("long"), F.coalesce("text", F.lit(""))
+    sides = F.array(here((idx, "seam"), (text, "before"), (none("string"), "after")), here((idx - 1, "seam"), (none("string"), "before"), (text, "after")))
+    seams = parts.select("file", F.inline(sides)).groupBy("file", "seam").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    cuts = seams.select("file", "seam", "before", cut("before", "after").alias("cut"))
+    left = here((F.col("seam"), "idx"), (F.col("before"), "text"), (F.col("cut.ends"), "ends"), (none("long"), "begins"))
+    right = here((F.col("seam") + 1, "idx"), (none("string"), "text"), (none("long"), "ends"), (F.col("cut.begins"), "begins"))
+    told = cuts.select("file", F.inline(F.array(left, right))).groupBy("file", "idx").agg(*[F.max(c).alias(c) for c in ("text", "ends", "begins")]).where("text is not null")
     begins, ends = F.coalesce("begins", F.lit(0)), F.coalesce("ends", F.length("text"))
     kept = F.trim(F.substring("text", begins.cast("int") + 1, F.greatest(ends - begins, F.lit(0)).cast("int")))
     own = F.transform(F.array_sort(F.collect_list(F.struct("idx", "kept"))), lambda x: x["kept"])  # a recording's own
-    pieces = whole.select("file", "idx", kept.alias("kept")).groupBy("file").agg(F.filter(own, lambda x: x != "").alias("own"))
+    pieces = told.select("file", "idx", kept.alias("kept")).groupBy("file").agg(F.filter(own, lambda x: x != "").alias("own"))
     before = lambda i: F.get("own", i - 1)
     blank = lambda x, i: F.when((i == 0) | (before(i).rlike(f"[{_CLOSE}]$") & x.rlike(f"^[{_CLOSE}]")), "").otherwise(" ")
     return pieces.select("file", F.array_join(F.transform("own", lambda x, i: F.concat(blank(x, i), x)), "").alias("text"))

@@ -347,7 +347,7 @@ def test_batches_and_seams(spark, tmp_path, monkeypatch):
 
     assert transcribe.seam("a b c d e f", "d e f g h i", 0.3) == (9, 4)
     assert transcribe.seam("one two", "three four", 0.5) == (7, 0) and transcribe.seam("", "a", 0.5) == (0, 0)
-    parts = [("f", 0, "We saw the quick bro"), ("f", 1, "saw The quick brown fox jump"), ("f", 2, "brown fox jumps over"), ("g", 0, None), ("g", 1, "x"), ("z", 0, "今天天气"), ("z", 1, "天气很好"), ("e", 0, "")]
+    parts = [("f", 0, "We saw the quick bro"), ("f", 1, "saw The quick brown fox jump"), ("f", 2, "brown fox jumps over"), ("g", 0, None), ("g", 1, "x"), ("g", 1, "x"), ("z", 0, "今天天气"), ("z", 1, "天气很好"), ("e", 0, "")]
     out = transcribe.stitched(spark.createDataFrame(parts, "file string, idx long, text string"), 10, 5)
     assert {r["file"]: r["text"] for r in out.collect()} == {"f": "We saw the quick brown fox jumps over", "g": "x", "z": "今天天气很好", "e": ""}
 
