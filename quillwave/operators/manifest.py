@@ -28,15 +28,25 @@ def resolve(rows: DataFrame, files: DataFrame, ext: str = ".wav", root: str = "w
     """``rows`` with ``audio``: the path of name + ``ext``, else of name, below ``root``; status `missing` where neither is in ``files`` (path).
 
     Names are joined, not looked up on a file system; an empty or null name is missing.
-    Each row asks for its own two paths, so line numbers need not be unique and rows of
-    several manifests can be resolved together.  Spark broadcasts the listing if it is small.
+    Line numbers need not be unique, so rows of several manifests can be resolved together.
+    A column ``audio`` of ``rows`` is replaced.
+
+    Each file is listed under the names that ask for it, so rows are matched once. Rows
+    that ask for nothing are spread by their hash instead of meeting under one null key. The names are
+    written: Spark then broadcasts them if they are few, and else may split the rows of a name that many share.
     """
     ext = ext if ext.startswith(".") else f".{ext}"
-    there = files.select("path").where("path is not null").distinct()
-    asked = F.when((F.col("status") == "ok") & (F.col("name") != ""), F.concat(F.lit(f"{root}/"), "name"))
-    want = rows.withColumns({"_bare": asked, "_full": F.concat(asked, F.lit(ext))})
-    first, second = there.select(F.col("path").alias("_full"), F.col("path").alias("_a")), there.select(F.col("path").alias("_bare"), F.col("path").alias("_b"))
-    out = want.join(first, "_full", "left").join(second, "_bare", "left").select(*rows.columns, F.coalesce("_a", "_b").alias("audio"))
+    bare = F.substr("path", F.lit(len(root) + 2))
+    whole = F.when(F.endswith("path", F.lit(ext)), F.substr(bare, F.lit(1), F.length(bare) - len(ext)))
+    names = F.explode(F.array(F.struct(bare.alias("_name"), F.lit(False).alias("_ext")), F.struct(whole.alias("_name"), F.lit(True).alias("_ext"))))
+    listed = files.where(F.startswith("path", F.lit(f"{root}/"))).select(names.alias("x")).select("x.*").where("_name <> ''")
+    # _spread is written with the names: as a constant it would be taken out of the join's keys.
+    known = written(listed.groupBy("_name").agg(F.max("_ext").alias("_ext")).withColumn("_spread", F.lit(0).cast("long")))
+    asks = F.coalesce((F.col("status") == "ok") & (F.col("name") != ""), F.lit(False))
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind])
+    want = rows.withColumns({"_name": F.when(asks, F.col("name")).otherwise(""), "_spread": F.when(asks, F.lit(0).cast("long")).otherwise(hashed)})
+    audio = F.when(F.col("_ext").isNotNull(), F.concat(F.lit(f"{root}/"), "_name", F.when(F.col("_ext"), ext).otherwise("")))
+    out = want.join(known, ["_name", "_spread"], "left").select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() != "audio"], audio.alias("audio"))
     return out.withColumn("status", F.when((F.col("status") == "ok") & F.col("audio").isNull(), "missing").otherwise(F.col("status")))
 
 

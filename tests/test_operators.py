@@ -450,6 +450,41 @@ def test_manifests_together(spark):
     assert len(shuffled) == 3 and shuffled == manifest.ordered(parsed, True, 5).collect()
 
 
+def test_names_against_a_listing(spark):
+    """The ending is tried first, then the bare name; paths that only look alike don't count."""
+    there = ["wavs/a.wav", "wavs/a.wav.wav", "wavs/b", "wavs/b.wav", "wavs/.wav", "wavs/", "wavs/d/e.wav", "wav/c.wav", "xwavs/c.wav", "wavs/f.WAV", "wavs/ü😀.wav", "wavs/b", None]
+    asked = ["a", "a.wav", "a.wav.wav", "b", "", ".wav", "d/e", "d/e.wav", "e", "c", "f", "f.WAV", "ü😀", "ü😀.wav", None, "a", "%", "_"]
+    rows = [(i, n, "ok" if i % 7 else "empty", {"k": i}, "old") for i, n in enumerate(asked * 3)]
+    df = spark.createDataFrame(rows, "line_no long, name string, status string, more map<string,int>, Audio string")
+    out = manifest.resolve(df, spark.createDataFrame([(p,) for p in there], "path string"))
+    assert out.columns == ["line_no", "name", "status", "more", "audio"]
+
+    def found(name, status):
+        tries = [f"wavs/{name}.wav", f"wavs/{name}"] if name and status == "ok" else []
+        audio = next((t for t in tries if t in there), None)
+        return audio, "missing" if status == "ok" and audio is None else status
+
+    assert sorted((r["line_no"], r["audio"], r["status"]) for r in out.collect()) == [(i, *found(n, s)) for i, n, s, _, _ in rows]
+    assert manifest.resolve(df, spark.createDataFrame([], "path string")).where("audio is not null").count() == 0
+    assert manifest.resolve(df.limit(0), spark.createDataFrame([("wavs/a",)], "path string")).count() == 0
+
+
+def test_lines_without_a_name_are_spread(spark):
+    """Rows that ask for no file don't meet in one task where the join is shuffled."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        lines = spark.range(4000).selectExpr("id line_no", "IF(id % 4 = 0, concat('n', id, '|t'), '') value")
+        out = manifest.resolve(manifest.parse(lines), spark.range(4000).selectExpr("concat('wavs/n', id, '.wav') path"))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and max(sizes) < 2 * 4000 / len(sizes) and len(sizes) > 1
+
+
 def test_newlines(spark):
     pairs = [("Hello there my friend.", "Hello there\nmy friend."), ("a b", "a b\n"), ("x", "\nx"), ("", "")]
     out = [r["text"] for r in newlines.carry_breaks(spark.createDataFrame(pairs, "original string, transcribed string").coalesce(1)).collect()]
