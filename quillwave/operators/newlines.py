@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import breaks, tidy_breaks
+from ..sinks.written import written
 
 _WORDS = re.compile(r"\s|\S+")
 COST = 256  #: edits that a search for the middle of two spans follows from each end before it settles for the farthest point
@@ -274,5 +275,8 @@ def carry_breaks(pairs: DataFrame, mark: bool = False, spread: bool = False, wor
     key = F.sha2(F.concat(F.length(flat).cast("string"), F.lit("/"), flat, back), 256)
     keyed = pairs.withColumn("_key", key)
     once = keyed.select(F.col("_key").alias("key"), flat.alias("original"), back.alias("transcribed")).dropDuplicates(["key"])
-    texts = spread_scripts(once, words).select(F.col("key").alias("_key"), tidy_breaks(transferred(F.col("script"), mark)).alias("text"))
-    return keyed.drop("text").join(texts, "_key", "left").drop("_key")
+    # Written, so that Spark knows the size of the texts and may split the rows of a pair that many share; rows with a null need none.
+    texts = written(spread_scripts(once, words).select(F.col("key").alias("_key"), tidy_breaks(transferred(F.col("script"), mark)).alias("text")))
+    keyed = keyed.drop("text")
+    without = keyed.where("_key is null").withColumn("text", F.lit(None).cast("string"))
+    return keyed.where("_key is not null").join(texts, "_key").unionByName(without).drop("_key")

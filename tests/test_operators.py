@@ -485,6 +485,15 @@ def test_lines_without_a_name_are_spread(spark):
     assert sum(sizes) == 4000 and max(sizes) < 2 * 4000 / len(sizes) and len(sizes) > 1
 
 
+def test_spread_pairs_with_nulls_and_copies(spark):
+    """Null pairs keep their rows, copies of one pair all get its text, other columns stay."""
+    rows = [(i, "a b c", "a\nb c", "x") for i in range(50)] + [(50, None, "a", "x"), (51, "a", None, None), (52, None, None, "x"), (52, None, None, "x"), (53, "", "", "x")]
+    out = newlines.carry_breaks(spark.createDataFrame(rows, "id long, original string, transcribed string, Text string"), spread=True)
+    assert out.columns == ["id", "original", "transcribed", "text"]
+    want = newlines.carry_breaks(spark.createDataFrame([r[:3] for r in rows], "id long, original string, transcribed string"))
+    assert sorted(out.collect(), key=str) == sorted(want.collect(), key=str) and out.count() == len(rows)
+
+
 def test_newlines(spark):
     pairs = [("Hello there my friend.", "Hello there\nmy friend."), ("a b", "a b\n"), ("x", "\nx"), ("", "")]
     out = [r["text"] for r in newlines.carry_breaks(spark.createDataFrame(pairs, "original string, transcribed string").coalesce(1)).collect()]
