@@ -390,6 +390,19 @@ def test_globs(spark, tmp_path, monkeypatch):
     assert {tuple(r) for r in listing.matched(one, ["/d/*", "/**/x.wav"]).collect()} == {("/d/x.wav", 0), ("/d/x.txt", 0), ("/d/e/x.wav", 1)}
 
 
+def test_globs_folders_as_files(spark, tmp_path, monkeypatch):
+    """A folder with a wanted ending is one path, by tasks and by Spark's reader; only spelled out is it entered."""
+    for n in ("d/b.set/p0.set", "d/b.set/k=1/p1.set", "d/a.set", "d/c/e.set/p2", "d/sets/f.txt", "d/g.set/_hidden"):
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_text("1")
+    names = lambda asked: [r["path"].split("/d/")[1] for r in listing.expand(spark, [f"file:{tmp_path}/d/{p}" for p in asked], as_files=(".set",)).orderBy("pos").collect()]
+    for seen in (["g.set"], []):  # a reader knows of no folder without files that it reads
+        assert names(["b*", "**/*.set", "b.set"]) == ["b.set", "a.set", "c/e.set", *seen]
+        assert names(["c/e.set", "b.set/*", "**/*"]) == ["c/e.set", "b.set/p0.set", "a.set", "b.set", *seen, "sets/f.txt"]
+        assert names(["b.set/**/*.set"]) == ["b.set/k=1/p1.set", "b.set/p0.set"]
+        monkeypatch.setattr(listing, "_opens", lambda path: False)
+
+
 def test_backends(spark, tmp_path):
     for n, kind in (("ct2/model.bin", "faster-whisper"), ("hf/config.json", "transformers"), ("odd/readme", "transformers")):
         (tmp_path / n).parent.mkdir()
